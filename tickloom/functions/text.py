@@ -28,12 +28,10 @@ def strip_tags(col):
 def _character(code):
     """Text of a Unicode code point; null when there is no such character. The C1 range
     means the Windows-1252 characters, as in browsers."""
+    western = F.split(F.lit(" ".join(_cp1252(n) for n in range(0x80, 0xA0))), " ")
     legal = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    unassigned = code.isin(0x81, 0x8D, 0x8F, 0x90, 0x9D)
-    return (F.when(code.between(0x80, 0x9F) & ~unassigned,
-                   F.element_at(F.array(*[F.lit(_cp1252(n)) for n in range(0x80, 0xA0)]),
-                                (code - 0x7F).cast("int")))
-            .when(unassigned, F.lit(None))
+    return (F.when(code.isin(0x81, 0x8D, 0x8F, 0x90, 0x9D), F.lit(None))
+            .when(code.between(0x80, 0x9F), F.element_at(western, (code - 0x7F).cast("int")))
             .when(legal, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
 
 
@@ -42,39 +40,51 @@ def _cp1252(n):
 
 
 def _names():
-    pairs = []
-    for name, code in name2codepoint.items():
-        pairs += [F.lit(name), F.lit(chr(code))]
-    return F.create_map(*pairs)
+    """Named references as one constant map; the optimizer folds the text once."""
+    return F.str_to_map(F.lit(" ".join(f"{name}={chr(code)}" for name, code in name2codepoint.items()
+                                       if chr(code) not in " =")), F.lit(" "), F.lit("="))
+
+
+def _let(value, body):
+    """Evaluate a value once and use it several times, also inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def decode_entities(col):
     """Named and numeric character references to text in one pass, so ``&amp;lt;`` gives
     ``&lt;``. The semicolon may be missing. An unknown reference is dropped when it has
     one and kept as it is when it has none."""
-    col = _col(col)
-    names = _names()
-
-    def decode(piece):
-        ref = F.regexp_extract(piece, r"^(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z0-9]+)", 1)
-        lower = F.lower(ref)
+    def parse(piece):
+        return F.struct(piece.alias("piece"), F.regexp_extract(
+            piece, r"^(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z0-9]+)", 1).alias("ref"))
+
+    def number(ref):
+        digits = F.regexp_replace(ref, r"^#[xX]?0*", "")
+        return (F.when(F.length(digits) > 8, F.lit(None))
+                .when(F.substring(F.lower(ref), 1, 2) == "#x", F.conv(digits, 16, 10).try_cast("long"))
+                .otherwise(digits.try_cast("long")))
+
+    def resolve(p):
+        piece, ref = p["piece"], p["ref"]
+        text = (F.when(ref.startswith("#"), _let(number(ref), _character))
+                .otherwise(F.coalesce(F.try_element_at(_names(), ref), F.try_element_at(_names(), F.lower(ref)))))
         closed = F.substring(piece, F.length(ref) + 1, F.lit(1)) == ";"
-        rest = F.substring(piece, F.length(ref) + F.when(closed, 2).otherwise(1), F.length(piece))
-        digits = F.regexp_replace(lower, r"^#x?0*", "")
-        code = (F.when(F.length(digits) > 8, F.lit(None))
-                .when(lower.startswith("#x"), F.conv(digits, 16, 10).try_cast("long"))
-                .when(lower.startswith("#"), digits.try_cast("long")))
-        text = F.coalesce(F.when(lower.startswith("#"), _character(code)),
-                          F.try_element_at(names, ref), F.try_element_at(names, lower))
-        return (F.when(ref == "", F.concat(F.lit("&"), piece))
-                .when(text.isNotNull(), F.concat(text, rest))
-                .when(closed, rest)
-                .otherwise(F.concat(F.lit("&"), piece)))
-
-    pieces = F.split(col, "&", -1)
-    decoded = F.concat(F.element_at(pieces, 1),
-                       F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode), ""))
-    return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
+        return F.struct(piece.alias("piece"), ref.alias("ref"), text.alias("text"), closed.alias("closed"))
+
+    def build(p):
+        rest = F.substring(p["piece"], F.length(p["ref"]) + F.when(p["closed"], 2).otherwise(1), F.length(p["piece"]))
+        return (F.when((p["ref"] != "") & p["text"].isNotNull(), F.concat(p["text"], rest))
+                .when((p["ref"] != "") & p["closed"], rest)
+                .otherwise(F.concat(F.lit("&"), p["piece"])))
+
+    def decode(text):
+        pieces = F.split(text, "&", -1)
+        rest = F.slice(pieces, F.lit(2), F.size(pieces))
+        steps = F.transform(F.transform(F.transform(rest, parse), resolve), build)
+        return F.when(F.contains(text, F.lit("&")),
+                      F.concat(F.element_at(pieces, 1), F.array_join(steps, ""))).otherwise(text)
+
+    return _let(_col(col), decode)
 
 
 def ensure_period(col):
@@ -86,7 +96,7 @@ def ensure_period(col):
 
 def clean(col, end=True):
     text = decode_entities(strip_tags(col))
-    return ensure_period(text) if end else text
+    return _let(text, ensure_period) if end else text
 
 
 def drop_hidden(col):

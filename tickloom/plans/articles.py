@@ -221,7 +221,7 @@ def feed_items(spark, sf):
     return P.feed_items(feed(spark, sf))
 
 
-@query("write_tsv", f"WITH {SQL_FEED} SELECT title, url, time, summary, content FROM feed")
+@query("write_tsv", f"WITH {SQL_FEED} SELECT title, url, time, coalesce(summary, '') AS summary, content FROM feed")
 def write_tsv(spark, sf):
     path = fresh_dir(spark, "news")
     W.write_tsv(feed(spark, sf), path)

@@ -49,12 +49,17 @@ NEWS_COLUMNS = ["title", "url", "time", "summary", "content"]
 
 def write_tsv(df, path, columns=NEWS_COLUMNS):
     """Tab-separated news with a header line in every file."""
-    df.select(*columns).write.option("sep", "\t").option("escape", '"').csv(path, header=True)
+    (df.select(*columns).write.option("sep", "\t").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path, header=True))
 
 
 def read_tsv(spark, path, schema):
-    return (spark.read.schema(schema).option("sep", "\t").option("escape", '"')
+    """Read the export back. The format has no nulls: an empty field is empty text."""
+    rows = (spark.read.schema(schema).option("sep", "\t").option("escape", '"')
             .option("multiLine", True).csv(path, header=True))
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return rows.fillna("", subset=texts)
 
 
 class KeyedTable:
