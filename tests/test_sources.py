@@ -1,0 +1,131 @@
+import pytest
+from conftest import values
+from pyspark.sql import functions as F
+
+from tickloom.operators import filters as L
+from tickloom.schemas import CANDLE, NEWS, PREDICTION, TICK
+from tickloom.session import fresh_dir
+from tickloom.sources import envelope as E
+from tickloom.sources import market as M
+from tickloom.sources import store as W
+
+
+def test_bad_json_is_an_empty_record(rows):
+    df = rows("value string", ('{"symbol":"A","bid":1.5}',), ("{oops",), (None,), ('{"symbol":"B","extra":1}',))
+    assert values(E.decode_envelope(df, TICK), "symbol", "bid", "updated") == [
+        ("A", 1.5, None), (None, None, None), (None, None, None), ("B", None, None)]
+
+
+def test_envelope_there_and_back(rows):
+    df = rows(PREDICTION, ("EURUSD", "m1", 1.23456, 60), (None, "m1", 0.1, 120))
+    sent = E.encode_envelope(df, key="symbol", topic="market.predictioncandle.0")
+    assert sent.columns == ["key", "value", "topic"]
+    assert values(E.decode_envelope(sent, PREDICTION), *df.columns) == values(df, *df.columns)
+
+
+def test_binary_values_are_decoded(rows):
+    df = rows("value string", ('{"symbol":"A"}',)).withColumn("value", F.col("value").cast("binary"))
+    assert values(E.decode_envelope(df, TICK), "symbol") == [("A",)]
+
+
+def test_routing_by_subject(rows):
+    df = rows("value string, topic string", ('{"symbol":"A","bid":1.5}', "x.price.0"), ('{"title":"t"}', "x.news.0"),
+              ('{"symbol":"B","closeBid":2}', "x.candle.0"), ("{}", "x.other.0"), ("{}", "odd"))
+    parts = E.route(df, {"price": TICK, "news": NEWS, "candle": CANDLE})
+    assert values(parts["price"], "symbol", "bid") == [("A", "1.50000")]
+    assert values(parts["news"], "title") == [("t",)]
+    assert values(parts["candle"], "symbol", "closeBid") == [("B", "2.00000")]
+
+
+def test_short_rate_arrays(rows):
+    df = rows("Symbol string, Rates array<double>, Updated long", ("A", [1.0, 2.0, 3.0, 4.0], 5), ("B", [1.0], 6))
+    assert values(M.normalize_rates(df), "symbol", "bid", "ask", "high", "low", "updated") == [
+        ("A", 1.0, 2.0, 3.0, 4.0, 5), ("B", 1.0, None, None, None, 6)]
+
+
+def test_history_candle_of_an_unknown_offer(rows):
+    df = rows("c array<double>, offer_id int", ([60.0, *map(float, range(1, 10))], 1),
+              ([60.0, *map(float, range(1, 10))], 5))
+    dim = rows("offer_id int, pair string", (1, "EUR/USD"))
+    got = M.normalize_history(df, dim, frame="m1").orderBy("symbol")
+    assert values(got, "symbol", "frame", "ts", "openBid", "closeAsk", "volume") == [
+        (None, "m1", 60, 1.0, 6.0, 9.0), ("EUR/USD", "m1", 60, 1.0, 6.0, 9.0)]
+
+
+TABLE = "k string, a long, b long"
+
+
+def test_upsert_twice_is_upsert_once(rows):
+    table, batch = rows(TABLE, ("x", 1, 1), ("y", 2, 2)), rows(TABLE, ("y", 9, None), ("z", 3, 3))
+    once = W.upsert(table, batch, ["k"])
+    assert sorted(values(once, "k", "a", "b")) == [("x", 1, 1), ("y", 9, None), ("z", 3, 3)]
+    assert sorted(values(W.upsert(once, batch, ["k"]), "k", "a", "b")) == sorted(values(once, "k", "a", "b"))
+
+
+def test_partial_record_keeps_old_fields(rows):
+    table = rows(TABLE, ("x", 1, 1), ("y", 2, 2))
+    batch = rows(TABLE + ", o long", ("x", None, 5, 0), ("x", 7, None, 1), ("z", None, 4, 0))
+    got = W.set_fields(table, batch, ["k"], ["o"]).drop("o")
+    assert sorted(values(got, "k", "a", "b"), key=str) == [("x", 7, 5), ("y", 2, 2), ("z", None, 4)]
+
+
+def test_first_write_wins(rows):
+    table = rows(TABLE, ("x", 1, 1))
+    batch = rows(TABLE, ("x", 9, 9), ("y", 2, 1), ("y", 3, 2))
+    assert sorted(values(W.insert_ignore(table, batch, ["k"], ["b"]), "k", "a")) == [("x", 1), ("y", 2)]
+
+
+def test_keyed_table(spark, rows):
+    schema = rows(TABLE).schema
+    table = W.KeyedTable(spark, fresh_dir(spark, "t"), schema, ["k"])
+    assert table.read().count() == 0
+    table.upsert(rows(TABLE, ("x", 1, 1), ("y", 1, 1)), 0)
+    table.insert_ignore(rows(TABLE, ("y", 5, 5), ("z", 1, 1)), 1)
+    for _ in range(2):      # the second run is a replay of the batch
+        table.upsert(rows(TABLE, ("x", 2, 2), ("x", 3, 1)), 2, ["b"])
+    assert sorted(values(table.read(), "k", "a")) == [("x", 2), ("y", 1), ("z", 1)]
+    assert sorted(values(table.before(2), "k", "a")) == [("x", 1), ("y", 1), ("z", 1)]
+    small = table.compact(fresh_dir(spark, "t"))
+    assert sorted(values(small.read(), "k", "a")) == sorted(values(table.read(), "k", "a"))
+    assert small.versions().count() == 3
+
+
+def test_files_per_series(spark, rows):
+    path = fresh_dir(spark, "p")
+    df = rows("symbol string, frame string, ts long", *[("A", "m1", 60 * i) for i in range(50)], ("B", "H1", 3600))
+    W.write_partitioned(df, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 51
+    plan = back.filter("symbol = 'B'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan
+
+
+def test_tsv_keeps_odd_text(spark, rows):
+    path = fresh_dir(spark, "tsv")
+    odd = [('a "b"', "u1", 5, " lead\ttab ", "two\nlines"), ("", "u2", 6, None, "x\\")]
+    df = rows("title string, url string, time long, summary string, content string", *odd)
+    W.write_tsv(df, path)
+    back = W.read_tsv(spark, path, df.schema).orderBy("url")
+    assert values(back, *df.columns) == [odd[0], ("", "u2", 6, "", "x\\")]
+
+
+def test_range_edges_are_kept(rows):
+    df = rows("ts long", (9,), (10,), (70,), (71,))
+    assert values(L.time_range(df, "ts", 10, as_of=10), "ts") == [(10,), (70,)]
+    with pytest.raises(ValueError):
+        L.time_range(df, "ts", 10)
+
+
+def test_filters_reach_the_scan(spark, rows):
+    path = fresh_dir(spark, "c")
+    rows("symbol string, frame string, ts long", ("A", "m1", 60)).write.parquet(path)
+    df = L.recent(L.lookback(L.time_range(spark.read.parquet(path), "ts", 0, 100), "m1", 100), "A", "m1", 100)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "EqualTo(symbol,A)" in plan
+
+
+def test_empty_predictions_are_dropped(rows):
+    df = rows(PREDICTION, ("A", "m1", 1.0, 60), ("", "m1", 1.0, 60), (None, "m1", 1.0, 60), ("A", "m1", 0.0, 60),
+              ("A", "m1", 1.0, None), ("A", "m1", float("nan"), 60))
+    assert values(L.valid_predictions(df), "symbol", "ts") == [("A", 60)]

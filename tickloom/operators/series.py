@@ -9,6 +9,7 @@ helpers here cut a series into time slots and stay exact:
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.scalar import event_time, frame_seconds
 from tickloom.schemas import SERIES
@@ -71,17 +72,41 @@ def with_carry(df, keys, slot, order, aggs):
 
 def latest(df, keys, order):
     """Newest record per key, combined before the shuffle."""
-    keys, order = list(keys), _names(order)
-    rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
+    return _pick(df, list(keys), _names(order), F.max_by)
 
 
 def keep_first(df, keys, order):
-    """First record per key. The rank limit runs on both sides of the shuffle, so a key
-    with very many copies sends only one row per task."""
-    rank = Window.partitionBy(*keys).orderBy(*_names(order))
-    return df.withColumn("_rank", F.row_number().over(rank)).filter("_rank = 1").drop("_rank")
+    """First record per key, combined before the shuffle: a key with very many copies
+    sends only one row per task."""
+    return _pick(df, list(keys), _names(order), F.min_by)
+
+
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _pick(df, keys, order, by):
+    """One row per key by `order`, nulls lowest. Values of fixed width with a numeric order
+    keep Spark's hash aggregate; a struct would make it sort all rows. All columns come
+    from the same row also in a tie, since they are compared in the same sequence."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    rest = [c for c in df.columns if c not in keys]
+    rank = _numeric_rank(order[0], types[order[0]]) if len(order) == 1 else None
+    if rank is not None and all(isinstance(types[c], FIXED_WIDTH) for c in rest):
+        picked = df.withColumn("_rank", rank).groupBy(*keys).agg(
+            *[by(c, "_rank").alias(c) for c in rest])
+    else:
+        picked = (df.groupBy(*keys).agg(by(F.struct(*rest), F.struct(*order)).alias("_row"))
+                  .select(*keys, "_row.*"))
+    return picked.select(*df.columns)
+
+
+def _numeric_rank(col, kind):
+    """Sort column as a number that is never null, or None when its type is another."""
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(F.col(col).cast("long"), F.lit(-2 ** 63))
+    if isinstance(kind, T.DoubleType):
+        return F.coalesce(col, F.lit(float("-inf")))
+    return None
 
 
 def dedup(df, keys=("ts", "frame", "symbol"), order=None):

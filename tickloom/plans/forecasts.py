@@ -94,7 +94,8 @@ def rolling_blocks(spark, sf):
 
 def _sql_stats(centre, spread):
     return f"""WITH {SQL_BLOCKS}, cells AS ({SQL_CELLS}),
-stats AS (SELECT symbol, frame, col, {centre} AS centre, {spread} AS spread FROM cells GROUP BY symbol, frame, col)"""
+stats AS (SELECT symbol, frame, col, {centre} AS centre, coalesce(nullif({spread}, 0), 1) AS spread
+  FROM cells GROUP BY symbol, frame, col)"""
 
 
 def _fitted(spark, sf, kind):
