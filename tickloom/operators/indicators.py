@@ -47,7 +47,10 @@ def candle_shape(df, open_="openBid", high="highBid", low="lowBid", close="close
 
 
 def _bands(d, w, col, n, k):
-    d = d.withColumns({"bbmid": sma_over(col, w, n), "_std": std_over(col, w, n)})
+    return _edges(d.withColumns({"bbmid": sma_over(col, w, n), "_std": std_over(col, w, n)}), k)
+
+
+def _edges(d, k):
     return (d.withColumns({"bbupper": F.col("bbmid") + k * F.col("_std"),
                            "bblower": F.col("bbmid") - k * F.col("_std")})
             .withColumn("bbwidth", F.col("bbupper") - F.col("bblower")).drop("_std"))
@@ -93,4 +96,8 @@ def indicators(df, n=21, k=1.96, rsi_n=14, col="closeBid", keys=SERIES, slot=Non
 
 
 def add_indicators(d, w, n=21, k=1.96, rsi_n=14, col="closeBid"):
-    return candle_shape(_rsi(_bands(d, w, col, n, k), w, col, rsi_n))
+    """Delta first, then every other window in one step, so that Spark evaluates them
+    together over one sorted pass."""
+    d = _delta(d, w, col).withColumns({
+        "bbmid": sma_over(col, w, n), "_std": std_over(col, w, n), "rsi": rsi_over("delta", w, rsi_n)})
+    return candle_shape(_edges(d, k))

@@ -46,11 +46,20 @@ def title(html):
 
 def articles(pages, sep="\n", summary="first", html="html", keys=("page_id", "url")):
     """One article per page: title, published time in seconds, summary and content.
-    `summary` is ``first`` (first paragraph) or ``bullets`` (list items)."""
-    short = {"first": lambda: summary_first(html), "bullets": lambda: summary_bullets(html, sep)}[summary]()
-    return pages.select(*keys, title(html).alias("title"),
-                        F.unix_seconds(X.published_time(html)).alias("time"),
-                        short.alias("summary"), content(html, sep).alias("content"))
+    `summary` is ``first`` (first paragraph) or ``bullets`` (list items).
+
+    The visible page and the cleaned paragraphs are columns of their own, which keeps them
+    from being worked out again for every output that needs them."""
+    texts = F.transform(F.filter(X.elements("_visible", X.PARAGRAPH), X.is_plain), lambda p: X.clean(p))
+    staged = (pages.withColumn("_visible", X.drop_hidden(html)).withColumn("_texts", texts))
+    short = {
+        "first": lambda: F.try_element_at("_texts", F.lit(1)),
+        "bullets": lambda: F.array_join(F.transform(
+            X.elements("_visible", X.LIST_ITEM), lambda item: X.clean(item)), sep),
+    }[summary]()
+    return staged.select(*keys, X.clean(F.regexp_extract("_visible", X.TITLE, 1), end=False).alias("title"),
+                         F.unix_seconds(X.published_time(html)).alias("time"),
+                         short.alias("summary"), F.array_join("_texts", sep).alias("content"))
 
 
 def listing(pages, html="html", keys=("page_id",), base=None):
