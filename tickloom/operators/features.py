@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.scalar import fixed_round, frame_seconds
+from tickloom.functions.scalar import fixed_round, fixed_text, frame_seconds
 from tickloom.operators.indicators import add_indicators
 from tickloom.operators.series import last_rows, over_series
 from tickloom.schemas import FEATURES, SERIES
@@ -176,10 +176,17 @@ def prediction_rows(df, frames=None):
                      (F.col("ts") + frame_seconds("frame", frames)).alias("ts"))
 
 
-def forecast(candles, model, scaler=None, every=False, frames=None, slot=None):
+def stored_forecasts(df):
+    """Forecast records as they are stored: the value as the shortest text of five decimals."""
+    short = F.regexp_replace(fixed_text("prediction"), r"\.?0+$", "")
+    return df.select("symbol", "frame", "ts", short.alias("closeBid"))
+
+
+def forecast(candles, model, scaler=None, every=False, history=61, frames=None, slot=None):
     """Forecasts of the next close: for the newest candle of every series, or for every
-    candle with enough history. Series with too few candles give no row."""
-    blocks = rolling_blocks(candles, slot=slot) if every else newest_blocks(candles)
+    candle with enough history. Series with fewer than `history` candles give no row."""
+    blocks = (rolling_blocks(candles, history=history, slot=slot) if every
+              else newest_blocks(candles, history=history))
     return forecast_blocks(blocks, model, scaler, frames)
 
 

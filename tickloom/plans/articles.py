@@ -6,6 +6,7 @@ from pyspark.sql import types as Y
 from tickloom.functions import text as X
 from tickloom.operators import news as N
 from tickloom.operators import projections as P
+from tickloom.operators import requests as Q
 from tickloom.plans import tables as T
 from tickloom.plans.registry import query
 from tickloom.session import fresh_dir
@@ -215,6 +216,13 @@ def news_page(spark, sf):
     return P.news_page(feed(spark, sf).select("title", "url", "time", "source"), offset=5)
 
 
+@query("news_feed", f"""WITH {SQL_FEED} SELECT title, substring(summary, 1, 200) AS content, url AS link, source,
+  time * 1000 AS created_at FROM feed ORDER BY time DESC, url LIMIT 20""")
+def news_feed(spark, sf):
+    """The first page of the feed, as the dashboard shows it."""
+    return P.feed_items(Q.news_feed(feed(spark, sf), "EUR/USD"))
+
+
 @query("feed_items", f"""WITH {SQL_FEED}
 SELECT title, substring(summary, 1, 200) AS content, url AS link, source, time * 1000 AS created_at FROM feed""")
 def feed_items(spark, sf):

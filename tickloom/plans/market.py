@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import scalar as S
 from tickloom.operators import candles as C
+from tickloom.operators import features as X
 from tickloom.operators import filters as L
 from tickloom.operators import joins as J
 from tickloom.operators import projections as P
-from tickloom.operators.series import keep_first
+from tickloom.operators import requests as Q
+from tickloom.operators.series import continuous_open, keep_first
 from tickloom.plans import tables as T
 from tickloom.plans.registry import query
 from tickloom.schemas import CANDLE, OHLC, PREDICTION, TICK
@@ -277,3 +279,48 @@ FROM candles c FULL JOIN predictions p ON c.symbol = p.symbol AND c.frame = p.fr
 def overlay(spark, sf):
     bars = T.all_candles(spark, sf)
     return J.overlay(bars, keep_first(T.as_predictions(bars), ["symbol", "frame", "ts"], "prediction"), "prediction")
+
+
+# ---- requests -------------------------------------------------------------------------
+
+DAY = AS_OF - 86400
+
+
+@query("candle_history", f"""WITH {T.SQL_ALL} SELECT {T.SQL_OHLC}, ts FROM candles
+WHERE symbol = 'view' AND frame = 'm30' AND ts BETWEEN {DAY} AND {AS_OF + 60} ORDER BY ts""")
+def candle_history(spark, sf):
+    bars = T.all_candles(spark, sf).withColumn("symbol", S.sanitize_symbol("symbol"))
+    return Q.candle_history(bars, "Vi/ew", "m30", DAY, as_of=AS_OF)
+
+
+@query("forecast_history", f"""WITH {T.SQL_ALL}, {T.SQL_PREDICTIONS}
+SELECT ts, regexp_replace(printf('%.5f', prediction), '\\.?0+$', '') AS "closeBid" FROM predictions
+WHERE symbol = 'click' AND frame = 'H1' AND ts BETWEEN {DAY} AND {AS_OF} ORDER BY ts""")
+def forecast_history(spark, sf):
+    stored = X.stored_forecasts(T.as_predictions(T.all_candles(spark, sf)))
+    return Q.forecast_history(stored.withColumn("symbol", S.sanitize_symbol("symbol")), "click", "H1", DAY, AS_OF)
+
+
+@query("price_history", f"""WITH {T.SQL_TICKS} SELECT bid, ask, high, low, updated, event_id FROM ticks
+WHERE symbol = 'signup' AND updated BETWEEN {DAY * 1000} AND {AS_OF * 1000 + 600000} ORDER BY updated""")
+def price_history(spark, sf):
+    prices = T.ticks(spark, sf).withColumn("symbol", S.sanitize_symbol("symbol"))
+    return Q.price_history(prices, "signup", DAY * 1000, as_of=AS_OF * 1000)
+
+
+@query("chart_history", f"""WITH {T.SQL_ALL}, bars AS (
+  SELECT symbol, frame, ts AS time, coalesce(lag("closeBid") OVER (ORDER BY ts), "openBid") AS open,
+         "highBid" AS high, "lowBid" AS low, "closeBid" AS close FROM candles
+  WHERE symbol = 'view' AND frame = 'm30' AND ts >= {AS_OF} - 4800 * 1800 AND ts <= {AS_OF})
+SELECT * FROM bars ORDER BY time""")
+def chart_history(spark, sf):
+    """What a chart loads: its lookback, one candle per time, opens at the close before."""
+    bars = L.time_range(L.lookback(T.all_candles(spark, sf), "m30", AS_OF), "ts", 0, AS_OF)
+    one = keep_first(bars.filter("symbol = 'view'"), ["symbol", "frame", "ts"], "ts")
+    return P.chart_rows(continuous_open(one)).orderBy("time")
+
+
+@query("stored_forecasts", f"""WITH {T.SQL_ALL}, {T.SQL_PREDICTIONS}
+SELECT symbol, frame, ts, regexp_replace(printf('%.5f', prediction), '\\.?0+$', '') AS "closeBid" FROM predictions""")
+def stored_forecasts(spark, sf):
+    return X.stored_forecasts(L.valid_predictions(T.as_predictions(T.all_candles(spark, sf))))

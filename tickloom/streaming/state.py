@@ -4,8 +4,6 @@ Batch n reads the folder of the batch before and writes its own. A batch that is
 after a failure reads the same input and replaces the same folder, so results stay exact.
 """
 
-from pyspark.errors import AnalysisException
-
 
 class BatchState:
     def __init__(self, spark, path, schema):
@@ -14,14 +12,11 @@ class BatchState:
         self.schema = schema
 
     def load(self, batch_id):
-        """State after the batch before `batch_id`."""
-        if batch_id > 0:
-            try:
-                return self.spark.read.schema(self.schema).parquet(self._folder(batch_id - 1))
-            except AnalysisException as missing:
-                if missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        return self.spark.createDataFrame([], self.schema)
+        """State after the batch before `batch_id`. Only the first batch starts empty; a
+        folder that is missing later is an error, not a fresh start."""
+        if batch_id == 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self._folder(batch_id - 1))
 
     def save(self, rows, batch_id):
         rows.select(*self.schema.names).write.mode("overwrite").option(
