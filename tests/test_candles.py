@@ -52,10 +52,10 @@ def test_tie_break_that_does_not_fit_stops_the_job(rows):
         C.candles(rows(TICKS, tick(1, 1, 2 ** 62)), {"m1": 60}).collect()
 
 
-@pytest.mark.parametrize("parts", [1, 7, 60])
-def test_live_candle_after_every_tick(rows, parts):
+@pytest.mark.parametrize("slot_seconds", [1, 7, 10, 60, 3600])
+def test_live_candle_after_every_tick(rows, slot_seconds):
     data = [tick(s * 0.7, (s * 37) % 23, s) for s in range(300)]
-    got = C.live_candles(rows(TICKS, *data), {"m1": 60, "m5": 300}, parts=parts)
+    got = C.live_candles(rows(TICKS, *data), {"m1": 60, "m5": 300}, slot_seconds=slot_seconds)
     want = []
     for frame, width in (("m1", 60), ("m5", 300)):
         bar = {}

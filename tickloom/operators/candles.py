@@ -7,7 +7,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import candle_end, to_seconds
-from tickloom.operators.series import with_carry
 from tickloom.schemas import FRAMES, OHLC
 
 
@@ -68,36 +67,47 @@ def candles(ticks, frames=None, order=("updated", "event_id")):
             .select("symbol", "frame", *OHLC, F.col("_end").alias("ts")))
 
 
-def live_candles(ticks, frames=None, order=("updated", "event_id"), parts=60):
+def live_candles(ticks, frames=None, order=("updated", "event_id"), slot_seconds=10):
     """The forming candle after every tick: one row per tick and frame.
 
-    A candle is cut into `parts` slots that run on their own and take over the open and
-    the extremes of the slots before them, so a busy candle is not one task.
+    Time is cut into slots that divide every frame. Ticks are shuffled and sorted once, by
+    instrument and slot; what a candle of each frame held before the slot comes from a
+    table with one row per slot, so a busy candle is many tasks and a further frame costs
+    no further sort of the ticks.
     """
     frames = frames or FRAMES
-    second = to_seconds("updated")
-    targets = F.array(*[
-        F.struct(F.lit(name).alias("frame"), candle_end(second, width).alias("ts"),
-                 F.floor(second / max(width // parts, 1)).alias("_part"), tick_rank(order, width).alias("_rank"))
-        for name, width in frames.items()])
-    fanned = (ticks.withColumn("_to", F.explode(targets))
-              .select("symbol", "bid", "ask", *order, "_to.*"))
-    past = {}
-    for side in ("bid", "ask"):
-        past[f"_open_{side}"] = (F.min_by(side, "_rank"), lambda c: F.first(c))
-        past[f"_high_{side}"] = (F.max(side), F.max)
-        past[f"_low_{side}"] = (F.min(side), F.min)
-    run, within = with_carry(fanned, ("symbol", "frame", "ts"), F.col("_part"), ["_rank"], past)
+    slot_seconds = gcd(slot_seconds, *frames.values())
+    spread = ticks.select("symbol", "bid", "ask", *order,
+                          (candle_end(to_seconds("updated"), slot_seconds) - slot_seconds).alias("_slot"),
+                          tick_rank(order, slot_seconds).alias("_rank"))
+    targets = F.array(*[F.struct(F.lit(name).alias("frame"), candle_end("_slot", width).alias("ts"))
+                        for name, width in frames.items()])
+    per_slot = spread.groupBy("symbol", "_slot").agg(*ohlc("_rank"))
+    before = (Window.partitionBy("symbol", "_to").orderBy("_slot")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    merges = [(kind + side, merge) for side in ("Bid", "Ask")
+              for kind, merge in (("open", F.first), ("high", F.max), ("low", F.min))]
+    names = [name for name, _ in merges]
+    carried = (per_slot.withColumn("_to", F.explode(targets))
+               .select("symbol", "_slot", "_to.*", *[merge(c).over(before).alias(c) for c, merge in merges])
+               .groupBy("symbol", "_slot")
+               .agg(F.collect_list(F.struct("frame", "ts", *names)).alias("_past")))
+    within = (Window.partitionBy("symbol", "_slot").orderBy("_rank")
+              .rowsBetween(Window.unboundedPreceding, 0))
+    run = {}
+    for price in ("bid", "ask"):
+        run |= {f"_open_{price}": F.first(price).over(within), f"_high_{price}": F.max(price).over(within),
+                f"_low_{price}": F.min(price).over(within)}
     shown = []
     for side in ("Bid", "Ask"):
         price = side.lower()
-        shown += [
-            F.coalesce(f"_open_{price}", F.first(price).over(within)).alias("open" + side),
-            F.col(price).alias("close" + side),
-            F.greatest(f"_high_{price}", F.max(price).over(within)).alias("high" + side),
-            F.least(f"_low_{price}", F.min(price).over(within)).alias("low" + side),
-        ]
-    return run.select("symbol", "frame", *shown, "ts", *order)
+        shown += [F.coalesce(F.col("_p.open" + side), f"_open_{price}").alias("open" + side),
+                  F.col(price).alias("close" + side),
+                  F.greatest("_p.high" + side, f"_high_{price}").alias("high" + side),
+                  F.least("_p.low" + side, f"_low_{price}").alias("low" + side)]
+    return (spread.join(carried, ["symbol", "_slot"]).withColumns(run)
+            .withColumn("_p", F.explode("_past"))
+            .select("symbol", "_p.frame", *shown, "_p.ts", *order))
 
 
 def drop_first_candle(df, keys=("symbol", "frame")):

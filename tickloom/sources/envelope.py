@@ -16,10 +16,9 @@ PRICED = ("price", "candle", "livecandle", "predictioncandle")
 
 def decode_json(col, schema):
     """JSON text to a struct. Text that does not parse, or no text, gives a struct of nulls."""
-    names = [f.name for f in schema.fields]
     empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     data = F.from_json(F.col(col).cast("string") if isinstance(col, str) else col, schema)
-    return F.when(data.isNull(), empty).otherwise(F.struct(*[data[n].alias(n) for n in names]))
+    return F.coalesce(data, empty)
 
 
 def decode_envelope(df, schema, value="value"):
