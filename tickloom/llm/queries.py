@@ -1,11 +1,16 @@
 """The registered queries of this subpackage and the SQL that checks them where SQL can."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from tickloom.llm.decontaminate import contamination
+from tickloom.llm.packing import pack
 from tickloom.plans.registry import query
 from tickloom.plans.tables import load
 
+#: Where the vocabulary files of public tokenizers are, the same on every machine.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -32,3 +37,8 @@ FROM doc LEFT JOIN covered c USING (doc_id) LEFT JOIN listed l USING (doc_id)"""
 def op7_decontaminate(spark, sf_dir):
     found = contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op3_packing")
+def op3_packing(spark, sf_dir):
+    return pack(load(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")

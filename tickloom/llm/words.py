@@ -79,7 +79,8 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The 64-bit number of every run of bytes; runs are in order and don't overlap."""
     number = np.empty(len(start), np.uint64)
     at = 0
     with np.errstate(over="ignore"):
@@ -110,7 +111,7 @@ def words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> Words:
         after[-1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    return Words(_hashed(data, start, end), start, end, np.searchsorted(start, offsets), data)
+    return Words(numbers(data, start, end), start, end, np.searchsorted(start, offsets), data)
 
 
 def groups(column: pa.Array) -> Iterator[tuple[int, int]]:
