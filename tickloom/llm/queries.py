@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from tickloom.llm.decontaminate import contamination
+from tickloom.llm.jaccard import jaccard_components
 from tickloom.llm.packing import pack
 from tickloom.plans.registry import query
 from tickloom.plans.tables import load
@@ -14,6 +15,24 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op6_jaccard", f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+runs AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS run FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM doc WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY 1),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM runs x JOIN runs y USING (run) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)),
+reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT b, c FROM reach JOIN links ON a = doc_id)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(c) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""")
+def op6_jaccard(spark, sf_dir):
+    return jaccard_components(load(spark, sf_dir, "documents"))
+
+
 @query("op7_decontaminate", f"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
