@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.jaccard import jaccard_components
 from tickloom.llm.packing import pack
+from tickloom.llm.quality import quality_scores
 from tickloom.plans.registry import query
 from tickloom.plans.tables import load
 
@@ -61,3 +62,9 @@ def op7_decontaminate(spark, sf_dir):
 @query("op3_packing")
 def op3_packing(spark, sf_dir):
     return pack(load(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+@query("op9_quality")
+def op9_quality(spark, sf_dir):
+    scored = quality_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), keep=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
