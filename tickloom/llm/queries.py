@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.jaccard import jaccard_components
 from tickloom.llm.packing import pack
+from tickloom.llm.pii import pseudonymise
 from tickloom.llm.quality import quality_scores
 from tickloom.plans.registry import query
 from tickloom.plans.tables import load
 
 #: Where the vocabulary files of public tokenizers are, the same on every machine.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+#: The key of the pseudonyms, from a secret of the cluster in production.
+PII_KEY = os.environ.get("PII_KEY", "a key for tests")
 SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -68,3 +71,8 @@ def op3_packing(spark, sf_dir):
 def op9_quality(spark, sf_dir):
     scored = quality_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), keep=["doc_id"])
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op10_pii")
+def op10_pii(spark, sf_dir):
+    return pseudonymise(load(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_values")
