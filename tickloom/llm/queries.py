@@ -9,6 +9,7 @@ from tickloom.llm.jaccard import jaccard_components
 from tickloom.llm.packing import pack
 from tickloom.llm.pii import pseudonymise
 from tickloom.llm.quality import quality_scores
+from tickloom.llm.sharding import shard
 from tickloom.plans.registry import query
 from tickloom.plans.tables import load
 
@@ -76,3 +77,9 @@ def op9_quality(spark, sf_dir):
 @query("op10_pii")
 def op10_pii(spark, sf_dir):
     return pseudonymise(load(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_values")
+
+
+@query("op4_sharding")
+def op4_sharding(spark, sf_dir):
+    placed = shard(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
