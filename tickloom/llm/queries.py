@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from tickloom.llm.decontaminate import contamination
+from tickloom.llm.fingerprints import fingerprints
 from tickloom.llm.jaccard import jaccard_components
 from tickloom.llm.packing import pack
 from tickloom.llm.pii import pseudonymise
@@ -83,3 +84,8 @@ def op10_pii(spark, sf_dir):
 def op4_sharding(spark, sf_dir):
     placed = shard(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark, sf_dir):
+    return fingerprints(load(spark, sf_dir, "documents"))
