@@ -8,9 +8,11 @@ from tickloom.llm.decontaminate import contamination
 from tickloom.llm.fingerprints import fingerprints
 from tickloom.llm.jaccard import jaccard_components
 from tickloom.llm.packing import pack
+from tickloom.llm.pages import main_text
 from tickloom.llm.pii import pseudonymise
 from tickloom.llm.quality import quality_scores
 from tickloom.llm.sharding import shard
+from tickloom.llm.urls import PATTERNS, UNWANTED, Rule, url_verdicts
 from tickloom.plans.registry import query
 from tickloom.plans.tables import load
 
@@ -21,6 +23,26 @@ PII_KEY = os.environ.get("PII_KEY", "a key for tests")
 SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+SITE_RULES = [Rule("org/", "allow"), Rule("example.org/es/", "block"), Rule("example.org/en/1", "block"), Rule("com/fr/", "allow"), Rule("com/de/", "block")]
+
+
+@query("op1_urls", f"""
+WITH parts AS (
+  SELECT page_id, {SQL_LOWER.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '')")} AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path, row_number() OVER () AS line FROM pages),
+rules(host, path, action) AS (VALUES {", ".join("('" + r.text.partition("/")[0] + "', '/" + r.text.partition("/")[2] + "', '" + r.action + "')" for r in SITE_RULES)}),
+fits AS (
+  SELECT line, r.host || r.path AS rule, action,
+         row_number() OVER (PARTITION BY line ORDER BY length(r.host || r.path) DESC, action DESC, r.host || r.path) AS place
+  FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN regexp_matches({SQL_LOWER.format("host || path")}, '(^|[^a-z0-9])({"|".join(UNWANTED)})($|[^a-z0-9])') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (line)""")
+def op1_urls(spark, sf_dir):
+    judged = url_verdicts(load(spark, sf_dir, "pages").select("page_id", "url"), SITE_RULES + list(PATTERNS))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op6_jaccard", f"""
 WITH RECURSIVE doc AS (
   SELECT doc_id, regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -89,3 +111,8 @@ def op4_sharding(spark, sf_dir):
 @query("op8_fingerprints")
 def op8_fingerprints(spark, sf_dir):
     return fingerprints(load(spark, sf_dir, "documents"))
+
+
+@query("op5_html")
+def op5_html(spark, sf_dir):
+    return main_text(load(spark, sf_dir, "pages"), keep=["page_id", "url"])
