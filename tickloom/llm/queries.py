@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.fingerprints import fingerprints
 from tickloom.llm.jaccard import jaccard_components
+from tickloom.llm.license_texts import TEMPLATES
+from tickloom.llm.licenses import scan_licenses
 from tickloom.llm.packing import pack
 from tickloom.llm.pages import main_text
 from tickloom.llm.pii import pseudonymise
@@ -43,6 +45,28 @@ def op1_urls(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+_WORDS = "regexp_extract_all(" + SQL_LOWER.format("{0}") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_PAIRS = "unnest(list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda z: z[1] || ' ' || z[2]))"
+
+
+@query("op2_licenses", f"""
+WITH names(t, license, body) AS (VALUES {", ".join(f"({k}, '{name}', '" + body.replace("'", "''") + "')" for k, (name, body) in enumerate(TEMPLATES))}),
+grams AS (SELECT DISTINCT t, license, {_PAIRS} AS pair FROM (SELECT t, license, {_WORDS.format("body")} AS w FROM names)),
+template AS (SELECT *, count(*) OVER (PARTITION BY t) AS size FROM grams),
+lines AS (SELECT doc_id, coalesce(text, '') AS part FROM documents
+  UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents
+  UNION ALL SELECT doc_id, unnest(string_split(text, chr(10) || chr(10))) FROM documents),
+part AS (SELECT doc_id, p, w FROM (SELECT doc_id, row_number() OVER () AS p, {_WORDS.format("part")} AS w FROM lines) WHERE len(w) > 1),
+pairs AS (SELECT DISTINCT doc_id, p, {_PAIRS} AS pair FROM part),
+sizes AS (SELECT p, count(*) AS n FROM pairs GROUP BY p),
+common AS (SELECT doc_id, p, t, license, n, size, count(*) AS c FROM pairs JOIN template USING (pair) JOIN sizes USING (p) GROUP BY ALL),
+hits AS (SELECT doc_id, license, max(2 * c / CAST(n + size AS DOUBLE)) AS dice FROM common WHERE 200 * c >= 80 * (n + size) GROUP BY 1, 2),
+best AS (SELECT doc_id, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice, string_agg(license, ',' ORDER BY license) AS licenses FROM hits GROUP BY 1)
+SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM documents LEFT JOIN best USING (doc_id)""")
+def op2_licenses(spark, sf_dir):
+    return scan_licenses(load(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 @query("op6_jaccard", f"""
 WITH RECURSIVE doc AS (
   SELECT doc_id, regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
