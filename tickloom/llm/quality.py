@@ -22,14 +22,17 @@ from tickloom.llm.words import SPACE, Words, mix, ship, texts, word_groups
 
 SAMPLE = 6000            # labelled documents the space and the votes come from
 DIMENSIONS = 64
-NEIGHBOURS = 15
+NEIGHBOURS = 5
 BLOCK = 512              # documents compared at a time
 THRESHOLD = 0.7
 
 KINDS, LENGTHS, WORDS = 1024, 16, 512
-REPEATED = np.array([0.01, 0.05, 0.2, 0.5])
-TERMS = KINDS + LENGTHS + len(REPEATED) + 1 + WORDS
-WEIGHTS = np.repeat(np.array([1.0, 0.3, 1.0, 0.2], np.float32), [KINDS, LENGTHS, len(REPEATED) + 1, WORDS])
+REPEATED = np.array([0.01, 0.05, 0.2, 0.35, 0.5, 0.65, 0.8])     # shares of three words in a row that stood before
+ECHOED = np.array([0.02, 0.1, 0.3])                             # shares of words that stand twice in a row
+SIZES = [KINDS, LENGTHS, len(REPEATED) + 1, len(ECHOED) + 1, WORDS]
+AT = np.concatenate([[0], np.cumsum(SIZES)])
+TERMS = int(AT[-1])
+WEIGHTS = np.repeat(np.array([1.0, 0.3, 0.7, 0.7, 0.05], np.float32), SIZES)
 
 
 def _kind_bits() -> np.ndarray:
@@ -64,8 +67,8 @@ def term_vectors(found: Words, original: np.ndarray) -> np.ndarray:
     row = np.repeat(np.arange(rows), counts)
     kinds = np.bitwise_or.reduceat(_KIND[original], found.start)
     kind = (mix(kinds) % np.uint64(KINDS)).astype(np.int64)
-    length = KINDS + np.minimum(found.end - found.start, LENGTHS) - 1
-    word = KINDS + LENGTHS + len(REPEATED) + 1 + (found.number % np.uint64(WORDS)).astype(np.int64)
+    length = AT[1] + np.minimum(found.end - found.start, LENGTHS) - 1
+    word = AT[4] + (found.number % np.uint64(WORDS)).astype(np.int64)
     shares = np.bincount(np.concatenate([row * TERMS + t for t in (kind, length, word)]), minlength=rows * TERMS).reshape(rows, TERMS)
     out[:] = np.sqrt(shares / np.maximum(counts, 1)[:, None])
     with np.errstate(over="ignore"):
@@ -75,7 +78,9 @@ def term_vectors(found: Words, original: np.ndarray) -> np.ndarray:
     for r in np.flatnonzero(counts):
         here = np.sort(three[found.first[r]:max(found.first[r] + 1, found.first[r + 1] - 2)])
         again = np.count_nonzero(here[1:] == here[:-1]) / len(here)
-        out[r, KINDS + LENGTHS + np.searchsorted(REPEATED, again, "right")] = 1
+        out[r, AT[2] + np.searchsorted(REPEATED, again, "right")] = 1
+        own = found.number[found.first[r]:found.first[r + 1]]
+        out[r, AT[3] + np.searchsorted(ECHOED, np.count_nonzero(own[1:] == own[:-1]) / len(own), "right")] = 1
     return out
 
 
