@@ -47,9 +47,23 @@ def test_frames_that_do_not_divide_each_other(rows):
     assert together == apart
 
 
-def test_tie_break_that_does_not_fit_stops_the_job(rows):
-    with pytest.raises(Exception, match="must lie between"):
-        C.candles(rows(TICKS, tick(1, 1, 2 ** 62)), {"m1": 60}).collect()
+@pytest.mark.parametrize("width", [60, 86_400, 604_800])
+def test_any_number_breaks_ties(rows, width):
+    ids = [2 ** 63 - 1, -(2 ** 63), 0, 17, -1, None]
+    df = rows(TICKS, *[tick(width - 1, n, i) for n, i in enumerate(ids)])
+    assert values(C.candles(df, {"f": width}), "openBid", "closeBid") == [(1.0, 5.0)]
+    plan = C.candles(df, {"f": width})._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    live = C.live_candles(df, {"f": width}).orderBy("closeBid")
+    assert values(live, "openBid") == [(1.0,)] * 6
+    with pytest.raises(ValueError):
+        C.candles(df, order=("updated", "event_id", "bid"))
+
+
+def test_ticks_without_a_symbol_are_a_series(rows):
+    df = rows(TICKS, tick(1, 5, 1, None), tick(2, 6, 2, None), tick(70, 7, 3, None))
+    assert C.candles(df, {"m1": 60}).count() == 2 and C.live_candles(df, {"m1": 60}).count() == 3
+    assert values(C.drop_first_candle(C.candles(df, {"m1": 60})), "ts") == [(120,)]
 
 
 @pytest.mark.parametrize("slot_seconds", [1, 7, 10, 60, 3600])

@@ -24,13 +24,19 @@ def test_tags(rows):
 
 
 @pytest.mark.parametrize("raw, text", [
-    ("a &amp;lt; b", "a &lt; b"), ("&copy 1 &AMP;x", "© 1 &x"), ("&nosuch; &nosuch x", " &nosuch x"),
-    ("&#65;&#x42;&#X43", "ABC"), ("&#128;|&#129;|&#xD800;|&#99999999999;", "€|||"), ("AT&T &", "AT&T &"),
+    ("a &amp;lt; b", "a &lt; b"), ("&copy 1 &AMP;x", "© 1 &x"), ("&nosuch; &nosuch x", "&nosuch; &nosuch x"),
+    ("&#65;&#x42;&#X43", "ABC"), ("&#128;|&#129;|&#xD800;|&#99999999999;", "€|&#129;|&#xD800;|&#99999999999;"), ("AT&T &", "AT&T &"),
     ("&euro;&Eacute;&eacute;", "€Éé"), ("&#x1F600;", "😀"), ("", ""), ("&&amp;&", "&&&"), ("&nbsp;&equals", "\xa0&equals")])
 def test_entities(rows, raw, text):
     assert one(rows, X.decode_entities("s"), raw) == [text]
 
 
+def test_html5_names_and_dropping_unknown_ones(rows):
+    raw = "it&apos;s up 5&percnt; to &dollar;3 &unknown; &NotEqualTilde;"
+    assert one(rows, X.decode_entities("s"), raw) == ["it's up 5% to $3 &unknown; \u2242\u0338"]
+    assert one(rows, X.decode_entities("s", drop_unknown=True), raw) == ["it's up 5% to $3  \u2242\u0338"]
+
+
 def test_full_stop(rows):
     assert one(rows, X.ensure_period("s"), "Rates rise", "Rates rise!", "", "été", "a_", "end\n") == [
         "Rates rise.", "Rates rise!", "", "été.", "a_.", "end\n"]

@@ -1,5 +1,7 @@
 """The physical plans keep the properties the design relies on."""
 
+import re
+
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
@@ -13,10 +15,13 @@ from tickloom.operators import series as R
 from tickloom.plans import stored, streamed
 from tickloom.plans import tables as T
 from tickloom.session import fresh_dir
+from tickloom.sources.store import write_partitioned
 
 SF = "/root/testdata/sf0.001"
 WRITES = {q.__name__ for m in (stored, streamed) for q in vars(m).values() if callable(q)} | {"write_tsv"}
-LAZY = sorted(n for n, q in entry_points.queries().items() if q.__name__ not in WRITES and n != "forecast_fitted")
+#: Queries of the optional part run jobs of their own and may use Python.
+LAZY = sorted(n for n, q in entry_points.queries().items()
+              if q.__name__ not in WRITES and n != "forecast_fitted" and not re.match(r"op\d+_|pipeline$", n))
 
 
 def plan(df):
@@ -65,15 +70,40 @@ def test_no_pairing_join_and_no_python_outside_scoring(spark, name):
 def test_requests_read_one_folder(spark, rows):
     path = fresh_dir(spark, "bars")
     df = rows("symbol string, frame string, ts long, closeBid double",
-              ("EURUSD", "m1", 120, 2.0), ("EURUSD", "m1", 60, 1.0), ("EURUSD", "m1", 60, 1.0), ("USDJPY", "m1", 60, 9.0))
-    df.write.partitionBy("symbol", "frame").parquet(path)
-    got = Q.candle_history(spark.read.parquet(path), "eur/usd", "m1", 0, as_of=100)
+              ("EURUSD", "m1", 120, 2.0), ("EURUSD", "m1", 60, 1.0), ("EURUSD", "m1", 60, 5.0), ("USDJPY", "m1", 60, 9.0))
+    df.withColumn("arrival", F.col("closeBid")).write.partitionBy("symbol", "frame").parquet(path)
+    got = Q.candle_history(spark.read.parquet(path), "eur/usd", "m1", 0, as_of=100, arrival="arrival")
     assert [tuple(r) for r in got.select("ts", "closeBid").collect()] == [(60, 1.0), (120, 2.0)]
     assert "symbol" not in got.columns
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     assert "(symbol" in plan(got).split("PartitionFilters: [")[1].split("]")[0]
 
 
+@pytest.mark.parametrize("name", ["recent", "time_range", "time_range_open_end", "lookback", "candle_history", "price_history"])
+def test_time_bounds_reach_the_scan(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    pushed = plan(entry_points.queries()[name](spark, SF)).split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(ts," in pushed
+    assert name in ("recent", "lookback") or "LessThan(ts," in pushed
+
+
+def test_stored_series_are_pruned_and_sorted(spark):
+    path = fresh_dir(spark, "bars")
+    write_partitioned(T.all_candles(spark, SF), path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    text = plan(Q.candle_history(spark.read.parquet(path), "view", "m1", T.load(spark, SF, "events").count(), 1705276800))
+    assert "(symbol" in text.split("PartitionFilters: [")[1].split("]")[0]
+    pushed = text.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(ts," in pushed and "LessThanOrEqual(ts," in pushed
+    for row in spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.collect_list("ts").alias("t")).collect():
+        assert row["t"] == sorted(row["t"])
+
+
+@pytest.mark.parametrize("name", ["upsert", "set_fields"])
+def test_upserts_use_the_hash_aggregate(spark, name):
+    assert "SortAggregate" not in plan(entry_points.queries()[name](spark, SF))
+
+
 def test_forecast_text(rows):
     df = rows("symbol string, frame string, prediction double, ts long",
               *[("A", "m1", p, i) for i, p in enumerate((12.0, 1.5, 100.0, 0.00001, 1.23456))])

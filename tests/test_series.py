@@ -101,15 +101,51 @@ def test_history_is_ordered_and_whole(rows):
     assert packed.filter(F.col("history") != F.array_sort("history")).count() == 0
 
 
-def test_sliding_ratio_is_limited(rows):
+@pytest.mark.parametrize("size, step", [(259_200, 60), (3600, 3600), (1000, 300), (60, 200), (7, 5)])
+def test_sliding_windows_of_any_size(rows, size, step):
+    df = rows("symbol string, frame string, ts long, closeBid double",
+              *[(s, "m1", t, float(t)) for s in ("A", None) for t in (60, 120, 300, 3600, 3660, 90_000)])
+    got = R.sliding_history(df, size, step, fields=("closeBid",)).filter("symbol = 'A'")
+    want = {}
+    for t in (60, 120, 300, 3600, 3660, 90_000):
+        start = t // step * step
+        while start > t - size:
+            want.setdefault((start, start + size), []).append(t)
+            start -= step
+    assert {(r["start"], r["end"]): [c["ts"] for c in r["history"]] for r in got.collect()} == want
+    assert R.sliding_history(df, size, step, fields=("closeBid",)).filter("symbol is null").count() == len(want)
+
+
+def test_many_last_rows_rank_only_the_newest_slots(spark):
+    bars = spark.range(120_000).select(F.when(F.col("id") % 3 > 0, "A").alias("symbol"), F.lit("m1").alias("frame"), (F.col("id") * 60).alias("ts"))
+    got = R.last_rows(bars, 1500, skip=10)
+    times = {s: sorted(r["ts"] for r in got.collect() if r["symbol"] == s) for s in ("A", None)}
+    own = {"A": [60 * i for i in range(120_000) if i % 3], None: [60 * i for i in range(0, 120_000, 3)]}
+    assert all(times[s] == own[s][-1510:-10] for s in own)
+    assert "_slot" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_needs_an_order_besides_the_key(rows):
     with pytest.raises(ValueError):
-        R.sliding_history(rows(BARS, *gappy(6)), size=3 * 86400, step=60)
+        R.keep_first(rows("k string, t long", ("a", 1)), ["k", "t"], "t")
+
+
+def test_packed_order_equals_the_order_of_columns(rows):
+    data = [(k, i, o, v) for v, (k, i, o) in enumerate([("x", 1, -5), ("x", 2, None), ("x", 2, -(2 ** 63)), ("y", None, 9), ("y", -3, 2 ** 63 - 1), ("y", -3, 0)])]
+    df = rows("k string, i int, o long, v long", *data)
+    newest = R.latest(df, ["k"], ["i", "o"])
+    assert sorted(values(newest, "k", "v")) == [("x", 2), ("y", 4)]
+    assert sorted(values(R.keep_first(df, ["k"], ["i", "o"]), "k", "v")) == [("x", 0), ("y", 3)]
+    text = newest._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "SortAggregate" not in text
 
 
 def test_short_series_are_left_out_whole(rows):
     df = rows("symbol string, frame string, ts long", *[("A", "m1", i) for i in range(61)],
               *[("B", "m1", i) for i in range(60)])
     assert values(min_history(df).groupBy("symbol").count(), "symbol", "count") == [("A", 61)]
+    unnamed = df.withColumn("symbol", F.when(F.col("symbol") == "B", "B"))
+    assert min_history(unnamed).count() == 61
 
 
 def test_history_and_live_rows(rows):

@@ -1,10 +1,9 @@
 """Column expressions that clean article text out of raw HTML."""
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import functions as F
 
-# Patterns of the markup the cleaning looks at.
 TAG = r"(?s)</?[^ >/][^>]*>"
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>.*?</p>"
@@ -14,6 +13,7 @@ SPAN = r"(?is)<span(?:\s[^>]*)?>(.*?)</span>"
 HREF = r"""(?is)^<a\s[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 STYLE = r"""(?is)^<p\s[^>]*?\bstyle\s*=\s*["']([^"']*)["']"""
 TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title>"
+# Fixed value: the pattern of the published time in a page.
 PUBLISHED = r'(?i)\{"property":"og:article:published_time","content":"(.+?)"\}'
 
 
@@ -39,10 +39,23 @@ def _cp1252(n):
     return bytes([n]).decode("cp1252", errors="replace")
 
 
-def _names():
-    """Named references as one constant map; the optimizer folds the text once."""
-    return F.str_to_map(F.lit(" ".join(f"{name}={chr(code)}" for name, code in name2codepoint.items()
-                                       if chr(code) not in " =")), F.lit(" "), F.lit("="))
+COMMON = ("amp", "lt", "gt", "quot", "nbsp", "apos")
+
+
+def _map(table):
+    """A constant map; the optimizer folds its text once."""
+    return F.str_to_map(F.lit("\x01".join(f"{name}\x02{text}" for name, text in table.items())), F.lit("\x01"), F.lit("\x02"))
+
+
+def _named(ref, closed):
+    """Text of a named reference, null if there is none: of HTML 5 with its semicolon, of HTML 4 without. The
+    names come from Python's own tables; the usual ones are tried first."""
+    table = {name.rstrip(";"): text for name, text in html5.items()}
+    names = F.when(closed, _map(table)).otherwise(_map({name: chr(code) for name, code in name2codepoint.items()}))
+    out = F.when(ref == COMMON[0], F.lit(table[COMMON[0]]))
+    for name in COMMON[1:]:
+        out = out.when(ref == name, F.lit(table[name]))
+    return out.otherwise(F.coalesce(F.try_element_at(names, ref), F.when(F.lower(ref) != ref, F.try_element_at(names, F.lower(ref)))))
 
 
 def _let(value, body):
@@ -50,10 +63,10 @@ def _let(value, body):
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def decode_entities(col):
+def decode_entities(col, drop_unknown=False):
     """Named and numeric character references to text in one pass, so ``&amp;lt;`` gives
-    ``&lt;``. The semicolon may be missing. An unknown reference is dropped when it has
-    one and kept as it is when it has none."""
+    ``&lt;``. The semicolon may be missing. An unknown reference stays as it is; with
+    `drop_unknown` it goes when it has a semicolon."""
     def parse(piece):
         return F.struct(piece.alias("piece"), F.regexp_extract(
             piece, r"^(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z0-9]+)", 1).alias("ref"))
@@ -66,15 +79,15 @@ def decode_entities(col):
 
     def resolve(p):
         piece, ref = p["piece"], p["ref"]
-        text = (F.when(ref.startswith("#"), _let(number(ref), _character))
-                .otherwise(F.coalesce(F.try_element_at(_names(), ref), F.try_element_at(_names(), F.lower(ref)))))
         closed = F.substring(piece, F.length(ref) + 1, F.lit(1)) == ";"
+        text = (F.when(ref.startswith("#"), _let(number(ref), _character))
+                .otherwise(_named(ref, closed)))
         return F.struct(piece.alias("piece"), ref.alias("ref"), text.alias("text"), closed.alias("closed"))
 
     def build(p):
         rest = F.substring(p["piece"], F.length(p["ref"]) + F.when(p["closed"], 2).otherwise(1), F.length(p["piece"]))
         return (F.when((p["ref"] != "") & p["text"].isNotNull(), F.concat(p["text"], rest))
-                .when((p["ref"] != "") & p["closed"], rest)
+                .when((p["ref"] != "") & p["closed"] & F.lit(drop_unknown), rest)
                 .otherwise(F.concat(F.lit("&"), p["piece"])))
 
     def decode(text):

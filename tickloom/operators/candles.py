@@ -1,5 +1,6 @@
 """Ticks to candles."""
 
+from decimal import Decimal
 from functools import reduce
 from math import gcd
 
@@ -7,22 +8,22 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import candle_end, to_seconds
+from tickloom.operators.series import join_keys
 from tickloom.schemas import FRAMES, OHLC
 
 
 def tick_rank(order, width):
     """Order of ticks within a candle as one number. The first column is epoch milliseconds,
-    of which only the offset in the candle counts; the bits left over hold a whole-number
-    tie-break. A number keeps the aggregate in the hash form, which a struct does not. A
-    tie-break that does not fit stops the job rather than give a wrong open or close.
-    `width` is the candle length in seconds."""
+    of which only the offset in the candle counts; the second, if there is one, is any 64-bit number that
+    breaks ties, null last. A number keeps the aggregate in the hash form, which a struct does
+    not. `width` is the candle length in seconds."""
+    if not 1 <= len(order) <= 2:
+        raise ValueError("ticks are ordered by their time and at most one column that breaks ties")
     offset = F.pmod(F.col(order[0]), F.lit(width * 1000))
     if len(order) == 1:
         return offset
-    size = 2 ** (63 - (width * 1000).bit_length())
-    tie = F.col(order[1])
-    return offset * size + F.when(tie.between(0, size - 1), tie).otherwise(
-        F.raise_error(F.lit(f"{order[1]} must lie between 0 and {size - 1}")).cast("long"))
+    tie = F.coalesce(F.col(order[1]).cast("decimal(38,0)"), F.lit(Decimal(2 ** 63)))
+    return (offset.cast("decimal(38,0)") * F.lit(Decimal(2 ** 65)) + tie).cast("decimal(38,0)")
 
 
 def ohlc(rank):
@@ -105,7 +106,7 @@ def live_candles(ticks, frames=None, order=("updated", "event_id"), slot_seconds
                   F.col(price).alias("close" + side),
                   F.greatest("_p.high" + side, f"_high_{price}").alias("high" + side),
                   F.least("_p.low" + side, f"_low_{price}").alias("low" + side)]
-    return (spread.join(carried, ["symbol", "_slot"]).withColumns(run)
+    return (join_keys(spread, carried, ["symbol", "_slot"]).withColumns(run)
             .withColumn("_p", F.explode("_past"))
             .select("symbol", "_p.frame", *shown, "_p.ts", *order))
 
@@ -113,4 +114,4 @@ def live_candles(ticks, frames=None, order=("updated", "event_id"), slot_seconds
 def drop_first_candle(df, keys=("symbol", "frame")):
     """Leave out the first candle of every series, which may have begun before the data."""
     starts = df.groupBy(*keys).agg(F.min("ts").alias("_start"))
-    return df.join(starts, list(keys)).filter("ts > _start").select(*df.columns)
+    return join_keys(df, starts, list(keys)).filter("ts > _start").select(*df.columns)

@@ -1,10 +1,12 @@
-"""Filters. All compare plain columns with constants, so they reach the scan."""
+"""Filters. All compare plain columns with constants, so they reach the scan of a table that stores these
+columns. A filter on computed candles does not pass their aggregate: bound the ticks as well."""
 
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import functions as F
 
+from tickloom.operators.series import join_keys
 from tickloom.schemas import FRAMES, SERIES
 
 
@@ -49,4 +51,4 @@ def min_history(df, n=61, keys=SERIES):
     """Series with at least n rows, whole. Series are counted first, before any shuffle
     of the rows, and the short table of counts is joined."""
     long_enough = df.groupBy(*keys).count().filter(F.col("count") >= n).drop("count")
-    return df.join(long_enough, list(keys), "left_semi")
+    return join_keys(df, long_enough, list(keys), "left_semi")

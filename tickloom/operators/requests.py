@@ -17,20 +17,22 @@ def plain_symbol(symbol):
     return re.sub(r"[^A-Za-z0-9_]", "", symbol).upper()
 
 
-def _series(df, symbol, frame, lo, hi, as_of):
-    chosen = df.filter((F.col("symbol") == plain_symbol(symbol)) & (F.col("frame") == frame))
-    kept = keep_first(time_range(chosen, "ts", lo, hi, as_of), ["symbol", "frame", "ts"], "ts")
-    return payload(kept).orderBy("ts")
+def _series(df, symbol, frame, lo, hi, as_of, arrival):
+    chosen = time_range(df.filter((F.col("symbol") == plain_symbol(symbol)) & (F.col("frame") == frame)), "ts", lo, hi, as_of)
+    if arrival:
+        chosen = keep_first(chosen, ["symbol", "frame", "ts"], arrival).drop(arrival)
+    return payload(chosen).orderBy("ts")
 
 
-def candle_history(candles, symbol, frame, lo, hi=None, as_of=None):
-    """Candles of a series in an inclusive time range, one per time, oldest first."""
-    return _series(candles, symbol, frame, lo, hi, as_of)
+def candle_history(candles, symbol, frame, lo, hi=None, as_of=None, arrival=None):
+    """Candles of a series in an inclusive time range, oldest first. Of several with one time the first by
+    the column `arrival` counts; leave it out only for a table with one row per time."""
+    return _series(candles, symbol, frame, lo, hi, as_of, arrival)
 
 
-def forecast_history(forecasts, symbol, frame, lo, hi=None, as_of=None):
-    """Stored forecasts of a series in an inclusive time range, oldest first."""
-    return _series(forecasts, symbol, frame, lo, hi, as_of)
+def forecast_history(forecasts, symbol, frame, lo, hi=None, as_of=None, arrival=None):
+    """Stored forecasts of a series in an inclusive time range, oldest first; `arrival` as for candles."""
+    return _series(forecasts, symbol, frame, lo, hi, as_of, arrival)
 
 
 def price_history(prices, symbol, lo, hi=None, as_of=None):

@@ -7,14 +7,29 @@ helpers here cut a series into time slots and stay exact:
 * ``with_carry`` brings the running aggregate of all earlier slots (unbounded frames).
 """
 
+from decimal import Decimal
+from functools import reduce
+from math import gcd
+from operator import and_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.scalar import event_time, frame_seconds
+from tickloom.functions.scalar import frame_seconds
 from tickloom.schemas import SERIES
 
 SLOT_ROWS = 50_000
+RANKED_EARLY = 1000      # rows up to which Spark's rank limit works before the shuffle
+
+
+def join_keys(left, right, keys, how="inner"):
+    """Join on keys that may be null: a null key meets a null key. The columns of the left side
+    come first, then those of the right side that are no keys."""
+    short = right.select(*[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    joined = left.join(short, on, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
 
 
 def time_slot(ts="ts", frame="frame", rows=SLOT_ROWS):
@@ -67,7 +82,7 @@ def with_carry(df, keys, slot, order, aggs):
                               *[merge(name).over(before).alias(name) for name, (_, merge) in aggs.items()])
     within = (Window.partitionBy(*keys, "_slot").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
-    return spread.join(carried, [*keys, "_slot"]), within
+    return join_keys(spread, carried, [*keys, "_slot"]), within
 
 
 def latest(df, keys, order):
@@ -77,7 +92,9 @@ def latest(df, keys, order):
 
 def keep_first(df, keys, order):
     """First record per key, combined before the shuffle: a key with very many copies
-    sends only one row per task."""
+    sends only one row per task. An order made of keys alone says nothing about which is first."""
+    if set(_names(order)) <= set(keys):
+        raise ValueError("the first record needs an order besides its key, such as an arrival column")
     return _pick(df, list(keys), _names(order), F.min_by)
 
 
@@ -85,12 +102,12 @@ FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.Time
 
 
 def _pick(df, keys, order, by):
-    """One row per key by `order`, nulls lowest. Values of fixed width with a numeric order
-    keep Spark's hash aggregate; a struct would make it sort all rows. All columns come
+    """One row per key by `order`, nulls lowest. Values of fixed width with an order that packs into one
+    number keep Spark's hash aggregate; a struct would make it sort all rows. All columns come
     from the same row also in a tie, since they are compared in the same sequence."""
     types = {f.name: f.dataType for f in df.schema.fields}
     rest = [c for c in df.columns if c not in keys]
-    rank = _numeric_rank(order[0], types[order[0]]) if len(order) == 1 else None
+    rank = _numeric_rank(order[0], types[order[0]]) if len(order) == 1 else packed_rank([(c, types[c]) for c in order])
     if rank is not None and all(isinstance(types[c], FIXED_WIDTH) for c in rest):
         picked = df.withColumn("_rank", rank).groupBy(*keys).agg(
             *[by(c, "_rank").alias(c) for c in rest])
@@ -109,6 +126,22 @@ def _numeric_rank(col, kind):
     return None
 
 
+WHOLE_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def packed_rank(columns):
+    """Whole-number columns, each with its type, as one decimal that compares like them in turn, nulls
+    lowest. None when a column is of another type or they do not fit: two of 64 bits don't."""
+    bits = [WHOLE_BITS.get(type(kind)) for _, kind in columns]
+    if None in bits or sum(b + 1 for b in bits) > 126:
+        return None
+    rank = F.lit(Decimal(0)).cast("decimal(38,0)")
+    for (name, _), width in zip(columns, bits):
+        number = F.coalesce(F.col(name).cast("decimal(38,0)") + F.lit(Decimal(2 ** (width - 1) + 1)), F.lit(Decimal(0)))
+        rank = (rank * F.lit(Decimal(2 ** width + 1)) + number).cast("decimal(38,0)")
+    return rank
+
+
 def dedup(df, keys=("ts", "frame", "symbol"), order=None):
     """One record per key: any of them, or the first by `order`."""
     return keep_first(df, keys, order) if order else df.dropDuplicates(list(keys))
@@ -128,7 +161,8 @@ def monotonic(df, keys=SERIES, ts="ts", arrival="arrival", slot_size=100_000):
 
 def history(df, seconds=3 * 86400, fields=("openBid", "highBid", "lowBid", "closeBid"), keys=SERIES):
     """Ordered candle arrays per series and span of `seconds`. The span bounds an array,
-    however long the series: a span holds seconds / frame candles."""
+    however long the series: a span holds seconds / frame candles. The newest rows of a series
+    whatever the spans are those of `last_rows`."""
     entry = F.struct("ts", *fields)
     start = F.floor((F.col("ts") - 1) / seconds) * seconds
     return (df.groupBy(*keys, start.alias("start"))
@@ -136,20 +170,37 @@ def history(df, seconds=3 * 86400, fields=("openBid", "highBid", "lowBid", "clos
 
 
 def sliding_history(df, size, step, fields=("openBid", "highBid", "lowBid", "closeBid"), keys=SERIES):
-    """Ordered candle arrays per series and sliding window. Every row is copied into
-    size / step windows, so that ratio is limited to 128; for a window that moves with
-    every candle use the row windows of the indicators instead."""
-    if size % step or size // step > 128:
-        raise ValueError("size must be a multiple of step, at most 128 times as long")
-    window = F.window(event_time("ts"), f"{size} seconds", f"{step} seconds")
-    return (df.groupBy(window.alias("window"), *keys)
-            .agg(F.array_sort(F.collect_list(F.struct("ts", *fields))).alias("history"))
-            .select(*keys, F.unix_seconds("window.start").alias("start"),
-                    F.unix_seconds("window.end").alias("end"), "history"))
+    """Ordered candle arrays per series and sliding window of `size` seconds that begins at every
+    multiple of `step`. Rows are gathered once by the longest span that divides both, and
+    those few spans are copied into the windows that hold them, not the rows."""
+    grain = gcd(size, step)
+    spans = (df.filter(F.col("ts").isNotNull())
+             .groupBy(*keys, (F.floor(F.col("ts") / grain) * grain).alias("_span"))
+             .agg(F.array_sort(F.collect_list(F.struct("ts", *fields))).alias("_rows")))
+    return (spans.withColumn("start", F.explode(window_starts("_span", size, step)))
+            .groupBy(*keys, "start").agg(F.array_sort(F.collect_list(F.struct("_span", "_rows"))).alias("_spans"))
+            .select(*keys, "start", (F.col("start") + size).alias("end"), F.flatten("_spans._rows").alias("history")))
+
+
+def window_starts(time, size, step):
+    """Starts of the windows that hold a time in epoch seconds, as an array; none where
+    the step is longer than the window and the time lies between two."""
+    first = (F.floor((F.col(time) - size) / step) + 1) * step
+    last = F.floor(F.col(time) / step) * step
+    return F.when(first <= last, F.sequence(first, last, F.lit(step).cast("long"))).otherwise(F.array().cast("array<bigint>"))
 
 
 def last_rows(df, n, keys=SERIES, order="ts", skip=0):
-    """The last n rows of every series, leaving out the newest `skip`."""
+    """The last n rows of every series, leaving out the newest `skip`.
+
+    Spark ranks before the shuffle only up to a limit of some hundred rows. Beyond it, rows are counted by time
+    slot first, and only the newest slots that hold enough rows are ranked, so that no task gets a whole series."""
+    if skip + n > RANKED_EARLY and {"ts", "frame"} <= set(df.columns) and _names(order)[0] == "ts" and set(keys) <= set(df.columns):
+        spread = df.withColumn("_slot", time_slot())
+        newer = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+        needed = (spread.groupBy(*keys, "_slot").count().withColumn("_newer", F.coalesce(F.sum("count").over(newer), F.lit(0)))
+                  .filter(F.col("_newer") < skip + n).select(*keys, "_slot"))
+        df = join_keys(spread, needed, [*keys, "_slot"], "left_semi").drop("_slot")
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in _names(order)])
     ranked = df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= skip + n)
     return ranked.filter(F.col("_rank") > skip).drop("_rank")

@@ -12,6 +12,7 @@ from tickloom.operators import requests as Q
 from tickloom.operators.series import continuous_open, keep_first
 from tickloom.plans import tables as T
 from tickloom.plans.registry import query
+from tickloom.plans.series import doubled
 from tickloom.schemas import CANDLE, OHLC, PREDICTION, TICK
 from tickloom.sources import envelope as E
 from tickloom.sources import market as M
@@ -203,26 +204,26 @@ def payload(spark, sf):
 @query("recent", f"""WITH {T.SQL_ALL} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles
 WHERE symbol = 'view' AND frame = 'm30' AND ts > {AS_OF} - 10800""")
 def recent(spark, sf):
-    return L.recent(T.all_candles(spark, sf), "view", "m30", AS_OF)
+    return L.recent(T.candles_between(spark, sf, AS_OF - 10800), "view", "m30", AS_OF)
 
 
 @query("time_range", f"""WITH {T.SQL_ALL} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles
 WHERE ts BETWEEN {AS_OF - 86400} AND {AS_OF} ORDER BY ts""")
 def time_range(spark, sf):
-    return L.time_range(T.all_candles(spark, sf), "ts", AS_OF - 86400, AS_OF).orderBy("ts")
+    return L.time_range(T.candles_between(spark, sf, AS_OF - 86400, AS_OF), "ts", AS_OF - 86400, AS_OF).orderBy("ts")
 
 
 @query("time_range_open_end", f"""WITH {T.SQL_TICKS} SELECT symbol, bid, ask, high, low, updated, event_id
 FROM ticks WHERE updated BETWEEN {(AS_OF - 3600) * 1000} AND {AS_OF * 1000 + 600000} ORDER BY updated""")
 def time_range_open_end(spark, sf):
-    return L.time_range(T.ticks(spark, sf), "updated", (AS_OF - 3600) * 1000, as_of=AS_OF * 1000,
-                        margin=600_000).orderBy("updated")
+    lo, hi = (AS_OF - 3600) * 1000, AS_OF * 1000
+    return L.time_range(T.ticks(spark, sf, lo, hi + 600_000), "updated", lo, as_of=hi, margin=600_000).orderBy("updated")
 
 
 @query("lookback", f"""WITH {T.SQL_ALL} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles
 WHERE frame = 'm1' AND ts >= {AS_OF} - 4800 * 60""")
 def lookback(spark, sf):
-    return L.lookback(T.all_candles(spark, sf), "m1", AS_OF)
+    return L.lookback(T.candles_between(spark, sf, AS_OF - 4800 * 60), "m1", AS_OF)
 
 
 @query("exclude_url", "SELECT page_id, url FROM pages WHERE NOT contains(url, '/en/')")
@@ -286,11 +287,12 @@ def overlay(spark, sf):
 DAY = AS_OF - 86400
 
 
-@query("candle_history", f"""WITH {T.SQL_ALL} SELECT {T.SQL_OHLC}, ts FROM candles
+@query("candle_history", f"""-- the first of two candles of one time
+WITH {T.SQL_ALL} SELECT {T.SQL_OHLC}, ts FROM candles
 WHERE symbol = 'view' AND frame = 'm30' AND ts BETWEEN {DAY} AND {AS_OF + 60} ORDER BY ts""")
 def candle_history(spark, sf):
-    bars = T.all_candles(spark, sf).withColumn("symbol", S.sanitize_symbol("symbol"))
-    return Q.candle_history(bars, "Vi/ew", "m30", DAY, as_of=AS_OF)
+    bars = doubled(T.candles_between(spark, sf, DAY, AS_OF + 60)).withColumn("symbol", S.sanitize_symbol("symbol"))
+    return Q.candle_history(bars, "Vi/ew", "m30", DAY, as_of=AS_OF, arrival="arrival")
 
 
 @query("forecast_history", f"""WITH {T.SQL_ALL}, {T.SQL_PREDICTIONS}
@@ -304,7 +306,7 @@ def forecast_history(spark, sf):
 @query("price_history", f"""WITH {T.SQL_TICKS} SELECT bid, ask, high, low, updated, event_id FROM ticks
 WHERE symbol = 'signup' AND updated BETWEEN {DAY * 1000} AND {AS_OF * 1000 + 600000} ORDER BY updated""")
 def price_history(spark, sf):
-    prices = T.ticks(spark, sf).withColumn("symbol", S.sanitize_symbol("symbol"))
+    prices = T.ticks(spark, sf, DAY * 1000, AS_OF * 1000 + 600_000).withColumn("symbol", S.sanitize_symbol("symbol"))
     return Q.price_history(prices, "signup", DAY * 1000, as_of=AS_OF * 1000)
 
 
@@ -316,7 +318,7 @@ SELECT * FROM bars ORDER BY time""")
 def chart_history(spark, sf):
     """What a chart loads: its lookback, one candle per time, opens at the close before."""
     bars = L.time_range(L.lookback(T.all_candles(spark, sf), "m30", AS_OF), "ts", 0, AS_OF)
-    one = keep_first(bars.filter("symbol = 'view'"), ["symbol", "frame", "ts"], "ts")
+    one = keep_first(doubled(bars.filter("symbol = 'view'")), ["symbol", "frame", "ts"], "arrival")
     return P.chart_rows(continuous_open(one)).orderBy("time")
 
 

@@ -1,5 +1,7 @@
 """The given tables in the shapes the operators take, and the same shapes in SQL."""
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import epoch_millis, fixed_text
@@ -24,8 +26,27 @@ def as_ticks(events):
         F.col("value").alias("low"), epoch_millis("ts").alias("updated"), "event_id")
 
 
-def ticks(spark, sf_dir):
-    return as_ticks(load(spark, sf_dir, "events"))
+def ticks(spark, sf_dir, lo=None, hi=None):
+    """All ticks, or those from `lo` to `hi` in epoch milliseconds, both included. The bounds are on the
+    stored time, so they reach the scan."""
+    events = load(spark, sf_dir, "events")
+    if lo is not None:
+        events = events.filter(F.col("ts") >= stored_time(lo))
+    if hi is not None:
+        events = events.filter(F.col("ts") < stored_time(hi + 1))
+    return as_ticks(events)
+
+
+def stored_time(millis):
+    """Epoch milliseconds as a constant of the type of the stored time."""
+    return F.lit(datetime(1970, 1, 1) + timedelta(milliseconds=millis)).cast("timestamp_ntz")
+
+
+def candles_between(spark, sf_dir, lo, hi=None):
+    """Candles of all frames out of the ticks that candles with an end from `lo` to `hi` (epoch seconds) are
+    made of. Candles that end before `lo` may be cut and are left out."""
+    widest = max(FRAMES.values())
+    return candles(ticks(spark, sf_dir, (lo - widest) * 1000, None if hi is None else hi * 1000 - 1)).filter(F.col("ts") >= lo)
 
 
 def event_stream(spark, sf_dir):

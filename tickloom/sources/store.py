@@ -6,24 +6,25 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.series import keep_first, latest, time_slot
+from tickloom.operators.series import keep_first, latest, packed_rank, time_slot
 from tickloom.schemas import SERIES
 
 
 def upsert(table, batch, keys, order=()):
     """Last write wins, whole rows: a batch row replaces the table row of its key, and of
     several batch rows the last by `order` counts."""
-    both = (table.withColumn("_new", F.lit(0))
-            .unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True))
+    both = (table.withColumn("_new", F.lit(0).cast("byte"))
+            .unionByName(batch.withColumn("_new", F.lit(1).cast("byte")), allowMissingColumns=True))
     return latest(both, keys, ["_new", *order]).drop("_new")
 
 
 def set_fields(table, batch, keys, order=()):
     """Last write wins, field by field: a field that is absent (null) in the new record
     keeps its old value. One aggregation, combined before the shuffle."""
-    both = (table.withColumn("_new", F.lit(0))
-            .unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True))
-    when = F.struct("_new", *order)
+    both = (table.withColumn("_new", F.lit(0).cast("byte"))
+            .unionByName(batch.withColumn("_new", F.lit(1).cast("byte")), allowMissingColumns=True))
+    when = packed_rank([(c, both.schema[c].dataType) for c in ("_new", *order)])
+    when = F.struct("_new", *order) if when is None else when
     fields = [c for c in both.columns if c not in (*keys, "_new")]
     return both.groupBy(*keys).agg(*[
         F.max_by(c, F.when(F.col(c).isNotNull(), when)).alias(c) for c in fields])
@@ -38,9 +39,10 @@ def insert_ignore(table, batch, keys, order=()):
 
 def write_partitioned(df, path, by=SERIES, slot=None, mode="overwrite"):
     """One folder per series. Rows are shuffled by series and time slot first: a folder gets
-    few files, and a large series is still written by many tasks."""
+    few files, and a large series is still written by many tasks. Files are sorted by time, so
+    that a range of times skips row groups."""
     slot = time_slot() if slot is None else slot
-    (df.withColumn("_slot", slot).repartition(*by, "_slot").drop("_slot")
+    (df.withColumn("_slot", slot).repartition(*by, "_slot").drop("_slot").sortWithinPartitions(*by, "ts")
      .write.mode(mode).partitionBy(*by).parquet(path))
 
 

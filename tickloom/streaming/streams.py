@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.scalar import event_time
 from tickloom.operators.candles import ohlc, tick_rank
 from tickloom.operators.features import forecast_blocks, rolling_blocks
-from tickloom.operators.series import last_rows, latest, monotonic
+from tickloom.operators.series import last_rows, latest, monotonic, window_starts
 from tickloom.schemas import CANDLE, FRAMES, OHLC, SERIES
 from tickloom.streaming.state import BatchState, write_batch
 
@@ -48,16 +48,17 @@ def dedup_stream(df, keys=("timestamp", "frame", "symbol"), delay="0 seconds", s
 
 
 def sliding_stream(df, size, step, delay="0 seconds", keys=SERIES):
-    """Closing statistics of sliding windows, for update mode. A row is copied into
-    size / step windows, so that ratio is limited to 128."""
-    if size % step or size // step > 128:
-        raise ValueError("size must be a multiple of step, at most 128 times as long")
-    window = F.window("timestamp", f"{size} seconds", f"{step} seconds")
-    return (with_event_time(df, delay).groupBy(window.alias("window"), *keys)
+    """Closing statistics of sliding windows of `size` seconds that begin at every multiple of `step`, for
+    update mode. A row counts in all windows that hold it; the state of a window goes when the watermark, which is taken
+    from window starts, has passed its end by `delay`."""
+    late = f"INTERVAL {int(size)} SECONDS"
+    started = (df.withColumn("_start", F.explode(window_starts("ts", size, step)))
+               .withColumn("_at", event_time("_start") + F.expr(late)).withWatermark("_at", delay))
+    window = F.window("_at", f"{step} seconds", f"{step} seconds", f"{size % step} seconds")
+    return (started.groupBy(window.alias("window"), *keys, F.col("_start").alias("start"))
             .agg(F.count(F.lit(1)).alias("n"), F.max_by("closeBid", "ts").alias("closeBid"),
                  F.max("ts").alias("ts"))
-            .select(*keys, F.unix_seconds("window.start").alias("start"),
-                    F.unix_seconds("window.end").alias("end"), "n", "closeBid", "ts"))
+            .select(*keys, "start", (F.col("start") + size).alias("end"), "n", "closeBid", "ts"))
 
 
 def latest_stream(df, keys=("symbol",), order=("updated",)):
