@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.words import NOT_ALNUM, mix, ship, word_groups, words
+from tickloom.llm.words import NOT_ALNUM, columns_for, mix, ship, word_groups, words
 
 WINDOW = 10
 MAX_BENCHMARK_BYTES = 64 << 20
@@ -134,14 +134,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
             T.StructField("item_word", T.LongType()), T.StructField("words", T.LongType())]))])
     names = [f.name for f in added.fields]
     carried = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    columns, place_of_text, places_of_carried = columns_for(text, carried)
     schema = T.StructType([docs.schema[c] for c in carried] + added.fields)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench = Suffixes(shared.value, window)
         first = np.searchsorted(bench.item, np.arange(len(bench.ids)))
         for batch in batches:
-            column = batch.column(0)
-            for at, to, found in word_groups(column, NOT_ALNUM):
+            for at, to, found in word_groups(batch.column(place_of_text), NOT_ALNUM):
                 counts = np.diff(found.first)
                 end = np.repeat(found.first[1:], counts)
                 doc = np.repeat(np.arange(to - at), counts)
@@ -167,9 +167,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                           pa.array(n_hit > 0), pa.array(longest, pa.struct([("item_id", pa.string()), ("doc_word", pa.int64()),
                                                                           ("item_word", pa.int64()), ("words", pa.int64())]))]
                 part = batch.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([part.column(k + 1) for k in range(len(carried))] + arrays, names=carried + names)
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in places_of_carried] + arrays, names=carried + names)
 
-    return docs.select(F.col(text).alias("__text"), *carried).mapInArrow(task, schema)
+    return docs.select(*columns).mapInArrow(task, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -13,11 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.license_texts import TEMPLATES
-from tickloom.llm.words import NOT_ALNUM, mix, ship, word_groups, words
+from tickloom.llm.words import NOT_ALNUM, columns_for, mix, ship, word_groups, words
 
 PERCENT = 80             # least Dice coefficient, times 100
 
@@ -81,12 +80,13 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: list[tuple[str
     added = [T.StructField("license", T.StringType()), T.StructField("dice", T.DoubleType()), T.StructField("licenses", T.StringType())]
     names = [f.name for f in added]
     carried = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    read, place, places = columns_for(text, carried)
     schema = T.StructType([docs.schema[c] for c in carried] + added)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Templates(shared.value, percent)
         for batch in batches:
-            for at, to, found in word_groups(batch.column(0), NOT_ALNUM):
+            for at, to, found in word_groups(batch.column(place), NOT_ALNUM):
                 pairs = _bigrams(found.number) if len(found.number) > 1 else np.zeros(0, np.uint64)
                 likely = np.zeros(len(pairs) + 1, np.int64)
                 if len(known.known) and len(pairs):
@@ -105,7 +105,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: list[tuple[str
                     out.append((best[1], best[0], ",".join(sorted({name for _, name in hits}))))
                 part = batch.slice(at, to - at)
                 columns = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.string())],
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.string())],
                                                  names=schema.fieldNames())
 
-    return docs.select(F.col(text).alias("_text"), *carried).mapInArrow(task, schema)
+    return docs.select(*read).mapInArrow(task, schema)

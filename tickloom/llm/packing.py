@@ -29,7 +29,7 @@ CAPACITY = 4096
 CLASSES = 16             # lengths under capacity / CLASSES share one bin
 SLACK = 64               # a gap under 1 / SLACK of the slot is not worth a cut
 END = 2                  # the id that ends a document
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 600_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True

@@ -6,12 +6,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.blocks import blocks, vectors
 from tickloom.llm.labeller import is_main, trained
-from tickloom.llm.words import groups, ship
+from tickloom.llm.words import columns_for, groups, ship
 
 
 def main_text(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
@@ -26,15 +25,16 @@ def main_text(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     ship(spark)
     shared = spark.sparkContext.broadcast(trained())
     carried = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_chars") and (keep is not None or c != html)]
+    read, place, places = columns_for(html, carried)
     schema = T.StructType([pages.schema[c] for c in carried] + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to in groups(batch.column(0)):
+            for at, to in groups(batch.column(place)):
                 part = batch.slice(at, to - at)
-                cut = [blocks(page) for page in part.column(0).to_pylist()]
+                cut = [blocks(page) for page in part.column(place).to_pylist()]
                 main = is_main(shared.value, [vectors(page) for page in cut])
                 texts = ["\n".join(b.text for b, m in zip(page, flags) if m) for page, flags in zip(cut, main)]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.fieldNames())
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.fieldNames())
 
-    return pages.select(F.col(html).alias("_html"), *carried).mapInArrow(task, schema)
+    return pages.select(*read).mapInArrow(task, schema)

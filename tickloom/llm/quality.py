@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.words import SPACE, Words, mix, ship, texts, word_groups
+from tickloom.llm.words import SPACE, Words, columns_for, mix, ship, texts, word_groups
 
 SAMPLE = 6000            # labelled documents the space and the votes come from
 DIMENSIONS = 64
@@ -174,15 +174,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
     ship(spark)
     shared = spark.sparkContext.broadcast(sample_space(docs, labels, text, doc_id, label, sample))
     carried = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted")]
+    names, place, places = columns_for(text, carried)
     schema = T.StructType([docs.schema[c] for c in carried] + [T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, vectors in text_vectors(batch.column(0)):
+            for at, to, vectors in text_vectors(batch.column(place)):
                 part = batch.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(vote(shared.value, vectors, neighbours))], schema.fieldNames())
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), part.column(len(names)), pa.array(vote(shared.value, vectors, neighbours))], schema.fieldNames())
 
-    scored = docs.select(F.col(text).alias("_text"), *carried, held_out(doc_id).alias("held_out")).mapInArrow(task, schema)
+    scored = docs.select(*names, held_out(doc_id).alias("held_out")).mapInArrow(task, schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

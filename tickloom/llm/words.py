@@ -17,7 +17,9 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 BLOCK = 1 << 20          # bytes hashed at a time
-GROUP = 4 << 20          # bytes of text handed out at a time, or one longer row
+GROUP = 2 << 20          # bytes of text handed out at a time, or one longer row
+
+BATCH_BYTES = 8 << 20    # of an Arrow batch
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32      # A-Z only: other letters have bytes from 0x80
@@ -145,9 +147,19 @@ def shingles(number: np.ndarray, size: int = 5) -> np.ndarray:
     return run[np.concatenate([[True], run[1:] != run[:-1]])]
 
 
+def columns_for(text: str, carried: list[str]) -> tuple[list[str], int, list[int]]:
+    """The columns a task reads, each once: their names, the place of the text and those of the carried ones."""
+    names = carried if text in carried else [text, *carried]
+    return names, names.index(text), [names.index(c) for c in carried]
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver does.
-    A cluster job sends it along with --py-files."""
+    """Let Python workers on this machine import the package from where the driver does; a cluster job
+    sends it along with --py-files. And let no Arrow batch of long texts grow beyond BATCH_BYTES: the session's own limit
+    stays if it is lower."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(limit).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(limit, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment
     paths = known.get("PYTHONPATH", "").split(os.pathsep)
