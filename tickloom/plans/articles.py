@@ -70,6 +70,14 @@ def decode_entities(spark, sf):
     return pages(spark, sf).select("page_id", X.decode_entities(X.strip_tags("html")).alias("text"))
 
 
+@query("decode_entities_html5", """SELECT page_id,
+  'it''s up ' || page_id || '% to $3 &unknown; < &nosemicolon ' || url AS text FROM pages""")
+def decode_entities_html5(spark, sf):
+    raw = F.concat(F.lit("it&apos;s up "), "page_id", F.lit("&percnt; to &dollar;3 &unknown; &lt &nosemicolon "),
+                   F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")))
+    return T.load(spark, sf, "pages").select("page_id", X.decode_entities(raw).alias("text"))
+
+
 @query("ensure_period", r"""SELECT doc_id, regexp_replace(text, '([\p{L}\p{N}_])\z', '\1.') AS text FROM documents""")
 def ensure_period(spark, sf):
     return T.load(spark, sf, "documents").select("doc_id", X.ensure_period("text").alias("text"))

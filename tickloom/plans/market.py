@@ -1,5 +1,7 @@
 """Queries over messages, ticks and candles: decoding, projections, filters, lookups."""
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalar as S
@@ -117,6 +119,21 @@ def candles_one_frame(spark, sf):
     return T.hour_candles(spark, sf)
 
 
+HASH = 6364136223846793005, 9223372036854775783     # a factor and a modulus that spread ids over 63 bits
+
+
+@query("candles_hashed_ids", f"""WITH {T.SQL_TICKS}, hashed AS (
+  SELECT symbol, bid, updated, CAST(CAST(event_id AS HUGEINT) * {HASH[0]} % {HASH[1]} AS BIGINT) AS h FROM ticks)
+SELECT symbol, CAST(updated // 86400000 * 86400 + 86400 AS BIGINT) AS ts, first(bid ORDER BY updated // 600000, h) AS "openBid",
+       last(bid ORDER BY updated // 600000, h) AS "closeBid" FROM hashed GROUP BY 1, 2""")
+def candles_hashed_ids(spark, sf):
+    """Day candles of ticks whose times are cut to ten minutes, so that hashed ids break many ties."""
+    number = F.col("event_id").cast("decimal(19,0)") * F.lit(Decimal(HASH[0])) % F.lit(Decimal(HASH[1]))
+    cut = (F.col("updated") - F.pmod("updated", F.lit(600_000))).alias("updated")
+    hashed = T.ticks(spark, sf).select("symbol", "bid", "ask", cut, number.cast("long").alias("h"))
+    return C.candles(hashed, {"D1": 86400}, order=("updated", "h")).select("symbol", "ts", "openBid", "closeBid")
+
+
 @query("live_candles", f"""WITH {T.SQL_ALL}
 SELECT symbol, frame, first_value(bid) OVER w AS "openBid", bid AS "closeBid", max(bid) OVER w AS "highBid",
        min(bid) OVER w AS "lowBid", first_value(ask) OVER w AS "openAsk", ask AS "closeAsk",

@@ -155,6 +155,24 @@ def sliding_history(spark, sf):
                          last["closeBid"].alias("closeBid"))
 
 
+SQL_MINUTE_WINDOWS = f"""{T.SQL_H1},
+copied AS (
+  SELECT symbol, frame, ts, unnest(range((ts - 259200) // 60 * 60 + 60, ts + 1, 60)) AS start FROM candles),
+windows AS (
+  SELECT symbol, frame, start, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM copied GROUP BY ALL)
+SELECT symbol, frame, CAST(start // 86400 AS BIGINT) AS day, count(*) AS windows, CAST(sum(n) AS BIGINT) AS n"""
+
+
+@query("sliding_history_minute", f"""WITH {SQL_MINUTE_WINDOWS},
+       CAST(sum(first_ts) AS BIGINT) AS first_ts, CAST(sum(last_ts) AS BIGINT) AS last_ts FROM windows GROUP BY 1, 2, 3""")
+def sliding_history_minute(spark, sf):
+    """Three days, moved every minute; the windows of a day are summed up."""
+    packed = R.sliding_history(T.hour_candles(spark, sf), size=3 * 86400, step=60, fields=())
+    return packed.groupBy("symbol", "frame", F.expr("start div 86400").alias("day")).agg(
+        F.count(F.lit(1)).alias("windows"), F.sum(F.size("history").cast("long")).alias("n"),
+        F.sum(F.element_at("history", 1)["ts"]).alias("first_ts"), F.sum(F.element_at("history", -1)["ts"]).alias("last_ts"))
+
+
 def doubled(df):
     """Every candle twice; the copy arrives later and has another close."""
     return (df.withColumn("arrival", F.lit(0))

@@ -7,7 +7,7 @@ from tickloom.functions.scalar import fixed_text
 from tickloom.plans import tables as T
 from tickloom.plans.forecasts import MODEL, SQL_RAW_FORECAST
 from tickloom.plans.registry import query
-from tickloom.plans.series import SQL_UNEVEN, uneven
+from tickloom.plans.series import SQL_MINUTE_WINDOWS, SQL_UNEVEN, uneven
 from tickloom.schemas import CANDLE, PREDICTION
 from tickloom.session import fresh_dir
 from tickloom.sources import envelope as E
@@ -51,6 +51,43 @@ def candle_source(spark, sf, bars=None):
     return spark.readStream.schema(CANDLE).parquet(path)
 
 
+def write_parts(df, path, column, parts, of=5):
+    """Some of five parts of a table by ranges of a column, one file after the other."""
+    low, high = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
+    part = F.least(F.floor((F.col(column).cast("double") - low) / ((high - low) / of or 1)), F.lit(of - 1))
+    for k in parts:
+        df.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+
+
+def in_parts(spark, df, column):
+    """A table as a stream of five files, a batch each, by ranges of a column."""
+    path = fresh_dir(spark, "parts")
+    write_parts(df, path, column, range(5))
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("candle_stream_parts", f"WITH {T.SQL_ALL} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles WHERE {SQL_CLOSED}")
+def candle_stream_parts(spark, sf):
+    """Ticks in five batches: a candle that lies in two of them is whole."""
+    ticks = in_parts(spark, T.ticks(spark, sf), "updated")
+    return read(spark, collect(spark, S.candle_streams(ticks)), CANDLE.names)
+
+
+@query("late_stream", f"""WITH {T.SQL_H1} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles WHERE {SQL_CLOSED}""")
+def late_stream(spark, sf):
+    """Every tick comes again an hour and more behind the last one of a later batch, with another price; the
+    watermark keeps it out of the closed candles."""
+    ticks = T.ticks(spark, sf).withColumn("_at", F.col("updated"))
+    again = ticks.withColumns({"bid": F.col("bid") + 9, "ask": F.col("ask") + 9, "_at": F.col("updated") + 7 * 86_400_000})
+    last = ticks.agg(F.max("updated")).first()[0]
+    both = ticks.unionByName(again.filter(F.col("_at") <= last))
+    path = fresh_dir(spark, "parts")
+    for k in range(10):     # ten ranges of arrival, each shorter than the delay of the second copy
+        write_parts(both, path, "_at", [k], of=10)
+    stream = spark.readStream.schema(both.schema).option("maxFilesPerTrigger", 1).parquet(path).drop("_at")
+    return read(spark, collect(spark, S.candle_stream(stream, "H1")), CANDLE.names)
+
+
 @query("sliding_stream", f"""WITH {T.SQL_H1},
 steps AS (SELECT unnest(range(0, 12)) AS k),
 placed_windows AS (
@@ -63,6 +100,17 @@ def sliding_stream(spark, sf):
     return S.final_state(spark, path, ["symbol", "frame", "start", "end"])
 
 
+@query("sliding_stream_minute", f"""WITH {SQL_MINUTE_WINDOWS},
+       CAST(sum(last_ts) AS BIGINT) AS last_ts FROM windows GROUP BY 1, 2, 3""")
+def sliding_stream_minute(spark, sf):
+    """Three days, moved every minute, over candles that come in five files."""
+    bars = T.hour_candles(spark, sf)
+    path = collect(spark, S.sliding_stream(in_parts(spark, bars, "ts"), 3 * 86400, 60), "update")
+    return (S.final_state(spark, path, ["symbol", "frame", "start", "end"])
+            .groupBy("symbol", "frame", F.expr("start div 86400").alias("day"))
+            .agg(F.count(F.lit(1)).alias("windows"), F.sum("n").alias("n"), F.sum("ts").alias("last_ts")))
+
+
 @query("dedup_stream", f"WITH {T.SQL_H1} SELECT symbol, frame, ts FROM candles")
 def dedup_stream(spark, sf):
     bars = T.hour_candles(spark, sf)
@@ -89,10 +137,13 @@ def latest_stream(spark, sf):
 
 @query("restarted_stream", f"WITH {T.SQL_H1} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles WHERE {SQL_CLOSED}")
 def restarted_stream(spark, sf):
-    """A second run on the same checkpoint finds nothing new."""
-    root = fresh_dir(spark, "stream")
-    for _ in range(2):
-        finish(S.to_files(S.candle_stream(T.tick_stream(spark, sf), "H1"), f"{root}/out", f"{root}/checkpoint"))
+    """Stopped in the middle and started again on the same checkpoint, twice: what came meanwhile is added, open
+    candles go on, and a run without news adds nothing."""
+    root, ticks = fresh_dir(spark, "stream"), T.ticks(spark, sf)
+    for parts in ([0, 1], [2, 3, 4], []):
+        write_parts(ticks, f"{root}/in", "updated", parts)
+        stream = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        finish(S.to_files(S.candle_stream(stream, "H1"), f"{root}/out", f"{root}/checkpoint"))
     return read(spark, f"{root}/out", CANDLE.names)
 
 

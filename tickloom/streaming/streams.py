@@ -51,10 +51,9 @@ def sliding_stream(df, size, step, delay="0 seconds", keys=SERIES):
     """Closing statistics of sliding windows of `size` seconds that begin at every multiple of `step`, for
     update mode. A row counts in all windows that hold it; the state of a window goes when the watermark, which is taken
     from window starts, has passed its end by `delay`."""
-    late = f"INTERVAL {int(size)} SECONDS"
     started = (df.withColumn("_start", F.explode(window_starts("ts", size, step)))
-               .withColumn("_at", event_time("_start") + F.expr(late)).withWatermark("_at", delay))
-    window = F.window("_at", f"{step} seconds", f"{step} seconds", f"{size % step} seconds")
+               .withColumn("_at", event_time("_start")).withWatermark("_at", f"{size} seconds {delay}"))
+    window = F.window("_at", f"{step} seconds")
     return (started.groupBy(window.alias("window"), *keys, F.col("_start").alias("start"))
             .agg(F.count(F.lit(1)).alias("n"), F.max_by("closeBid", "ts").alias("closeBid"),
                  F.max("ts").alias("ts"))
