@@ -3,7 +3,7 @@ import random
 import re
 
 import pytest
-from conftest import prose
+from llm_helpers import no_docs, odd_docs, prose  # noqa: F401
 
 from tickloom.llm.decontaminate import contamination, decontaminate
 

@@ -1,7 +1,7 @@
 import hashlib
 
 import numpy as np
-from conftest import prose
+from llm_helpers import no_docs, odd_docs, prose  # noqa: F401
 
 from tickloom.llm.fingerprints import edited_text, fingerprints, in_id_order, likeness, phrases, sketches
 from tickloom.llm.words import mix

@@ -1,6 +1,6 @@
 import re
 
-from conftest import prose
+from llm_helpers import no_docs, odd_docs, prose  # noqa: F401
 from tickloom.llm.license_texts import MIT, TEMPLATES
 from tickloom.llm.licenses import scan_licenses
 

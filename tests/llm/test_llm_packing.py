@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SF, TOKENIZER
+from llm_helpers import SF, TOKENIZER, no_docs, odd_docs  # noqa: F401
 from tokenizers import Tokenizer
 
 from tickloom.llm.packing import Bins, Encoder, pack, sequences

@@ -1,7 +1,7 @@
 import re
 
 import corpus_pipeline as p
-from conftest import SF, TOKENIZER
+from llm_helpers import SF, TOKENIZER, odd_docs  # noqa: F401
 from test_llm_decontaminate import plain as contaminated
 from test_llm_jaccard import plain as components
 from tokenizers import Tokenizer

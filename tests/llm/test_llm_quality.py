@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from conftest import prose
+from llm_helpers import no_docs, odd_docs, prose  # noqa: F401
 
 from tickloom.llm.quality import fit, good_documents, quality_scores, term_vectors, vote
 

@@ -1,7 +1,7 @@
 import zlib
 
 import pytest
-from conftest import prose
+from llm_helpers import no_docs, odd_docs, prose  # noqa: F401
 
 from tickloom.llm.sharding import borders, keyed, shard
 
