@@ -107,6 +107,19 @@ def test_model_is_loaded_by_the_worker(rows):
     assert {r["out"] for r in X.score(blocks, load).collect()} == {7.0}
 
 
+def test_a_model_for_each_series(rows):
+    def seven():
+        return lambda x: x.sum(axis=(1, 2)) * 0 + 7
+    seven.load = True
+    data = [(s, "m1", *row[2:]) for s in ("A", "B", "C") for row in gappy(11, 70)[:70]]
+    blocks = X.rolling_blocks(rows(BARS, *data).dropDuplicates(["symbol", "ts"]))
+    models = {("A", "m1"): seven, ("B", "m1"): lambda x: x[:, -1, -1]}
+    got = {}
+    for r in X.score(blocks, models).collect():
+        got.setdefault(r["symbol"], []).append((r["out"], r["block"][-1][-1]))
+    assert {o for o, _ in got["A"]} == {7.0} and all(o == last for o, last in got["B"]) and {o for o, _ in got["C"]} == {None}
+
+
 def test_fitted_model_recovers_a_line(rows):
     from pyspark.sql import functions as F
     blocks = X.rolling_blocks(rows(BARS, *gappy(12, 400))).withColumn("label", F.col("block")[9][9] * 0.5 + 3)

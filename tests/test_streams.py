@@ -70,10 +70,8 @@ def test_deduplication_across_batches(spark, rows):
 def test_gate_across_batches(spark, ticks):
     df = ticks.select("symbol", (F.floor(F.col("updated") / 1000) - F.hash("event_id") % 50000).alias("ts"),
                       F.col("event_id").alias("arrival"))
-    root = fresh_dir(spark, "gate")
-    S.monotonic_stream(in_files(spark, df, "arrival"), f"{root}/out", f"{root}/state", f"{root}/checkpoint",
-                       keys=["symbol"]).awaitTermination()
-    got = values(spark.read.parquet(f"{root}/out"), "symbol", "ts", "arrival")
+    out = run(spark, S.monotonic_stream(in_files(spark, df, "arrival"), ["symbol"]))
+    got = values(spark.read.parquet(out), "symbol", "ts", "arrival")
     assert sorted(got) == sorted(values(monotonic(df, ["symbol"]), "symbol", "ts", "arrival"))
 
 

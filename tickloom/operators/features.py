@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions.scalar import fixed_round, fixed_text, frame_seconds
 from tickloom.operators.indicators import add_indicators
-from tickloom.operators.series import last_rows, over_series
+from tickloom.operators.series import join_keys, last_rows, over_series
 from tickloom.schemas import FEATURES, SERIES
 
 POINTS = 100_000     # price units per point
@@ -89,10 +89,9 @@ def newest_blocks(candles, n=10, skip=1, history=61, keys=SERIES):
     full = (add_indicators(recent, w)
             .withColumns({"_seen": F.count(F.lit(1)).over(whole), "_newest": F.max("ts").over(whole)})
             .filter(F.col("_seen") == history))
-    newest = full.groupBy(*keys).agg(F.max("_newest").alias("_newest"))
-    blocks = assemble(normalize_block(last_block(full, n, skip, keys), keys), keys)
-    return (blocks.drop("ts").join(newest, list(keys))
-            .select(*keys, F.col("_newest").alias("ts"), "mid", "block"))
+    named = [*keys, "_newest"]          # the same for all rows of a series
+    blocks = assemble(normalize_block(last_block(full, n, skip, keys), named), named)
+    return blocks.select(*keys, F.col("_newest").alias("ts"), "mid", "block")
 
 
 def fit_scaler(blocks, kind="standard", keys=SERIES):
@@ -117,7 +116,7 @@ def fit_scaler(blocks, kind="standard", keys=SERIES):
 
 def scale(blocks, scaler, keys=SERIES):
     """Scaled blocks; centre and spread stay on the row for the way back."""
-    return (blocks.join(scaler, list(keys))
+    return (join_keys(blocks, scaler, list(keys))
             .withColumn("block", F.transform("block", lambda row: F.transform(
                 row, lambda x, i: (x - F.get("centre", i)) / F.get("spread", i)))))
 
@@ -128,10 +127,15 @@ def unscale(col, feature="closeBid"):
     return F.col(col) * F.col("spread")[i] + F.col("centre")[i]
 
 
-def score(df, model, block="block", out="out"):
+def score(df, model, block="block", out="out", keys=SERIES):
     """Add the model's answer to every block. `model` maps an array (rows, steps, columns)
     to a vector. To load weights once per worker, pass a function with the attribute
-    ``load = True`` that returns the model. Only the block column travels to Python."""
+    ``load = True`` that returns the model. For a model of its own per series, pass a dict from the
+    values of `keys` to such functions: a task loads each once, when it first meets the series, and a series without
+    a model gets null. Only the block column, and the keys in that case, travel to Python."""
+    if isinstance(model, dict):
+        return df.withColumn(out, _score_by_series(model)(F.struct(*keys), F.flatten(block)))
+
     @F.pandas_udf(T.DoubleType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import numpy as np
@@ -146,6 +150,26 @@ def score(df, model, block="block", out="out"):
     return df.withColumn(out, run(F.flatten(block)))
 
 
+def _score_by_series(models):
+    """Answers of the model of each row's series."""
+    @F.pandas_udf(T.DoubleType())
+    def run(batches: Iterator[tuple[pd.DataFrame, pd.Series]]) -> Iterator[pd.Series]:
+        import numpy as np
+        loaded = {}
+        for series, flat in batches:
+            answer = pd.Series(np.nan, index=flat.index, dtype="float64").astype("Float64")
+            for key, rows in flat.groupby([series[c] for c in series.columns], dropna=False):
+                if key not in models:
+                    answer[rows.index] = pd.NA
+                    continue
+                if key not in loaded:
+                    loaded[key] = models[key]() if getattr(models[key], "load", False) else models[key]
+                x = np.stack(rows.to_numpy())
+                answer[rows.index] = np.asarray(loaded[key](x.reshape(len(x), -1, 10)), dtype="float64").reshape(-1)
+            yield answer
+    return run
+
+
 def linear_model(weights, bias=0.0):
     """Model that weighs the cells of a block; the function travels whole to the workers."""
     weights = [float(w) for w in weights]

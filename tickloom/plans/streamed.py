@@ -123,9 +123,9 @@ SELECT symbol, ts, bid, arrival FROM uneven
 QUALIFY ts > coalesce(max(ts) OVER (PARTITION BY symbol ORDER BY arrival
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)""")
 def monotonic_stream(spark, sf):
-    root = fresh_dir(spark, "stream")
-    finish(S.monotonic_stream(uneven(T.event_stream(spark, sf)), f"{root}/out", f"{root}/state", f"{root}/checkpoint", keys=["symbol"]))
-    return read(spark, f"{root}/out", ["symbol", "ts", "bid", "arrival"])
+    """Records in five batches by arrival."""
+    records = in_parts(spark, uneven(T.load(spark, sf, "events")), "arrival")
+    return read(spark, collect(spark, S.monotonic_stream(records, ["symbol"])), ["symbol", "ts", "bid", "arrival"])
 
 
 @query("latest_stream", f"""WITH {T.SQL_TICKS} SELECT symbol, bid, ask, high, low, updated, event_id FROM ticks

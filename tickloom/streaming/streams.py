@@ -4,12 +4,14 @@ Watermarks come first, before deduplication and windows, so that state can expir
 aggregate serves one frame, since the window length must be constant.
 """
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tickloom.functions.scalar import event_time
 from tickloom.operators.candles import ohlc, tick_rank
 from tickloom.operators.features import forecast_blocks, rolling_blocks
-from tickloom.operators.series import last_rows, latest, monotonic, window_starts
+from tickloom.operators.series import last_rows, latest, window_starts
 from tickloom.schemas import CANDLE, FRAMES, OHLC, SERIES
 from tickloom.streaming.state import BatchState, write_batch
 
@@ -78,30 +80,21 @@ def final_state(spark, path, keys):
     return latest(spark.read.parquet(path), keys, "batch").drop("batch")
 
 
-def monotonic_stream(stream, path, state_path, checkpoint, keys=SERIES, ts="ts", arrival="arrival", **trigger):
-    """Pass a row only when its time exceeds every earlier time of its key. Within a batch
-    this is the batch operator; between batches one row per key is kept."""
-    spark = stream.sparkSession
-    fields = [stream.schema[c] for c in (*keys, ts)]
-    state = BatchState(spark, state_path, type(stream.schema)(fields))
-
-    def run(batch, batch_id):
-        # Kept rows rise in time per key and always exceed what an earlier batch let
-        # through, so the two conditions are independent of each other.
-        past = state.load(batch_id)
-        batch.persist()
-        try:
-            kept = (monotonic(batch, keys, ts, arrival)
-                    .join(past.withColumnRenamed(ts, "_past"), list(keys), "left")
-                    .filter(F.col("_past").isNull() | (F.col(ts) > F.col("_past"))).select(*batch.columns))
-            write_batch(kept, path, batch_id)
-            seen = past.unionByName(batch.select(*keys, ts)).groupBy(*keys).agg(F.max(ts).alias(ts))
-            state.save(seen, batch_id)
-        finally:
-            batch.unpersist()
-
-    return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+def monotonic_stream(stream, keys=SERIES, ts="ts", arrival="arrival"):
+    """Pass a row only when its time exceeds every earlier time of its key and zero, in arrival order. Spark's
+    state store keeps the greatest time of every key. The rows that one batch brings of one key meet in one task:
+    limit the batch at the source."""
+    def gate(key, parts, state):
+        rows = pd.concat(list(parts)).dropna(subset=[ts]).sort_values(arrival, kind="stable")
+        top = state.get[0] if state.exists else 0
+        if len(rows):
+            before = rows[ts].cummax().shift(fill_value=top).clip(lower=top)
+            state.update((int(max(top, rows[ts].max())),))
+            rows = rows[rows[ts] > before]
+        yield rows
+
+    return (stream.filter(F.col(ts).isNotNull()).groupBy(*keys)
+            .applyInPandasWithState(gate, stream.schema, "top long", "append", GroupStateTimeout.NoTimeout))
 
 
 def forecast_stream(candles, model, path, state_path, checkpoint, scaler=None, history=61, frames=None, **trigger):
