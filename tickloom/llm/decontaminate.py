@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.words import NOT_ALNUM, columns_for, mix, ship, word_groups, words
+from tickloom.llm.words import NOT_ALNUM, columns_for, frugal, mix, ship, word_groups, words
 
 WINDOW = 10
 MAX_BENCHMARK_BYTES = 64 << 20
@@ -169,7 +169,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                 part = batch.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in places_of_carried] + arrays, names=carried + names)
 
-    return docs.select(*columns).mapInArrow(task, schema)
+    return docs.select(*columns).mapInArrow(frugal(task), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

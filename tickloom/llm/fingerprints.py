@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.words import mix, ship
+from tickloom.llm.words import frugal, mix, ship
 
 LEVELS = 2               # names stand for about ten bytes
 SAMPLES = 128
@@ -212,4 +212,4 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         if group:
             yield done(group)
 
-    return in_id_order(docs, doc_id, text).mapInArrow(task, schema)
+    return in_id_order(docs, doc_id, text).mapInArrow(frugal(task), schema)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tickloom.llm.license_texts import TEMPLATES
-from tickloom.llm.words import NOT_ALNUM, columns_for, mix, ship, word_groups, words
+from tickloom.llm.words import NOT_ALNUM, columns_for, frugal, mix, ship, word_groups, words
 
 PERCENT = 80             # least Dice coefficient, times 100
 
@@ -108,4 +108,4 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: list[tuple[str
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.string())],
                                                  names=schema.fieldNames())
 
-    return docs.select(*read).mapInArrow(task, schema)
+    return docs.select(*read).mapInArrow(frugal(task), schema)

@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.words import groups, numbers, ship, texts
+from tickloom.llm.words import frugal, groups, numbers, ship, texts
 
 CAPACITY = 4096
 CLASSES = 16             # lengths under capacity / CLASSES share one bin
 SLACK = 64               # a gap under 1 / SLACK of the slot is not worth a cut
 END = 2                  # the id that ends a document
 CACHED_WORDS = 600_000
+ENCODED = 2048           # words encoded at a time
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -104,7 +105,8 @@ class Encoder:
         new = np.flatnonzero(~known)
         if len(new):
             words = [data[start[w]:end[w]].tobytes().decode() for w in where[new]]
-            self._add(distinct[new], [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+            ids = [e.ids for i in range(0, len(words), ENCODED) for e in self.tokenizer.encode_batch_fast(words[i:i + ENCODED], add_special_tokens=False)]
+            self._add(distinct[new], ids)
             place = np.searchsorted(self.keys, distinct)
         slot = self.slots[place][which]
         count = self.at[slot + 1] - self.at[slot]
@@ -237,7 +239,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
             bins.finish()
             yield rows()
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text)).mapInArrow(task, T.StructType(fields))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text)).mapInArrow(frugal(task), T.StructType(fields))
 
 
 def sequences(packed: DataFrame, capacity: int = CAPACITY, pad: int = 0) -> DataFrame:

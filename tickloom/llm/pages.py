@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.llm.blocks import blocks, vectors
 from tickloom.llm.labeller import is_main, trained
-from tickloom.llm.words import columns_for, groups, ship
+from tickloom.llm.words import columns_for, frugal, groups, ship
 
 
 def main_text(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
@@ -37,4 +37,4 @@ def main_text(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
                 texts = ["\n".join(b.text for b, m in zip(page, flags) if m) for page, flags in zip(cut, main)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.fieldNames())
 
-    return pages.select(*read).mapInArrow(task, schema)
+    return pages.select(*read).mapInArrow(frugal(task), schema)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.words import SPACE, Words, columns_for, mix, ship, texts, word_groups
+from tickloom.llm.words import SPACE, Words, columns_for, frugal, mix, ship, texts, word_groups
 
 SAMPLE = 6000            # labelled documents the space and the votes come from
 DIMENSIONS = 64
@@ -158,7 +158,7 @@ def sample_space(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, lab
     kind = docs.schema[doc_id].dataType.simpleString()
     texts = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")
              .groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
-    found = texts.mapInArrow(task, f"doc_id {kind}, label double, terms binary").orderBy("doc_id").collect()
+    found = texts.mapInArrow(frugal(task), f"doc_id {kind}, label double, terms binary").orderBy("doc_id").collect()
     vectors = np.array([np.frombuffer(r["terms"], np.float16) for r in found], np.float32).reshape(len(found), TERMS)
     return fit(vectors, np.array([r["label"] for r in found], np.float64))
 
@@ -183,7 +183,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
                 part = batch.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), part.column(len(names)), pa.array(vote(shared.value, vectors, neighbours))], schema.fieldNames())
 
-    scored = docs.select(*names, held_out(doc_id).alias("held_out")).mapInArrow(task, schema)
+    scored = docs.select(*names, held_out(doc_id).alias("held_out")).mapInArrow(frugal(task), schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

@@ -7,6 +7,7 @@ a column is read in groups of rows and a group in blocks of bytes that end at a
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -147,6 +148,20 @@ def shingles(number: np.ndarray, size: int = 5) -> np.ndarray:
     return run[np.concatenate([[True], run[1:] != run[:-1]])]
 
 
+def frugal(task):
+    """A task that at its end gives free memory back to the machine, since its Python worker lives on. What
+    Arrow holds is returned everywhere, what the C library holds where it can trim."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+    return run
+
+
 def columns_for(text: str, carried: list[str]) -> tuple[list[str], int, list[int]]:
     """The columns a task reads, each once: their names, the place of the text and those of the carried ones."""
     names = carried if text in carried else [text, *carried]
