@@ -37,3 +37,43 @@ def test_odd_tables(odd_docs, no_docs):
     assert len(rows) == odd_docs.count() and all(r["license"] is None and r["licenses"] == "" for r in rows)
     assert scan_licenses(no_docs).count() == 0
     assert scan_licenses(odd_docs, templates=[]).where("license is not null").count() == 0
+
+
+def runs(text, body):
+    """The highest coefficient of any run of words."""
+    def pairs(part):
+        words = re.findall("[A-Za-z0-9]+", part.lower())
+        return list(zip(words, words[1:]))
+    found, template = pairs(text), set(pairs(body))
+    windows = [set(found[i:j]) for i in range(len(found)) for j in range(i + 1, min(len(found), i + len(pairs(body)) * 120 // 80) + 1)]
+    return max((2 * len(w & template) / (len(w) + len(template)) for w in windows), default=0)
+
+
+def test_licences_of_several_paragraphs_between_prose(spark):
+    at = {name: body for name, body in TEMPLATES if len(body) > 400}
+    cut = {"MIT": ["subject to the\nfollowing conditions: ", "copies or substantial portions of the\nSoftware. "],
+           "BSD-2-Clause": ["conditions\nare met: ", "the following disclaimer.\n", "provided with the distribution. "],
+           "GPL-3.0": ["any later version. ", "General Public License for more details. "], "Zlib": ["use of this software. ", "restrictions: ", "not required. "]}
+    texts = []
+    for name, ends in cut.items():
+        body = at[name]
+        for end in ends:
+            assert end in body
+            body = body.replace(end, end.strip() + "\n\n", 1)
+        texts.append(prose(1, 200) + "\n\nCopyright (c) 2020 Somebody\n\n" + body + "\n\n" + prose(2, 200))
+    got = [(r["license"], r["dice"]) for r in scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [(name, 1.0) for name in cut]
+
+
+def test_runs_against_all_windows(spark):
+    short = [(name, body) for name, body in TEMPLATES if len(body) < 100]
+    texts = ["This project is licensed under the MIT License - see the LICENSE file for details.", "it is licensed under the apache license version 2 0 or under the MIT license", "x " * 30 + "licensed under cc by nc 4 0 licensed under cc by 4 0",
+             "under the MIT License under the MIT License is released under the MIT", "Licensed", "this work is licensed under the very GNU General Public License, version 3 of it", "under the MIT", "License and not more", "the MIT License the MIT License"]
+    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), templates=short).orderBy("doc_id").collect()
+    for text, row in zip(texts, got):
+        want = {}
+        for name, body in short:
+            want[name] = max(want.get(name, 0), runs(text, body))
+        want = {name: d for name, d in want.items() if d >= 0.8}
+        assert row["licenses"] == ",".join(sorted(want)) and row["dice"] == max(want.values(), default=None)
+    assert got[0]["license"] == "MIT" and got[0]["dice"] == 1.0 and got[6]["license"] is None
