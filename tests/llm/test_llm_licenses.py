@@ -50,7 +50,7 @@ def runs(text, body):
 
 
 def test_licences_of_several_paragraphs_between_prose(spark):
-    at = {name: body for name, body in TEMPLATES if len(body) > 400}
+    at = {name: body for name, body in reversed(TEMPLATES) if len(body) > 400}
     cut = {"MIT": ["subject to the\nfollowing conditions: ", "copies or substantial portions of the\nSoftware. "],
            "BSD-2-Clause": ["conditions\nare met: ", "the following disclaimer.\n", "provided with the distribution. "],
            "GPL-3.0": ["any later version. ", "General Public License for more details. "], "Zlib": ["use of this software. ", "restrictions: ", "not required. "]}
@@ -77,3 +77,17 @@ def test_runs_against_all_windows(spark):
         want = {name: d for name, d in want.items() if d >= 0.8}
         assert row["licenses"] == ",".join(sorted(want)) and row["dice"] == max(want.values(), default=None)
     assert got[0]["license"] == "MIT" and got[0]["dice"] == 1.0 and got[6]["license"] is None
+
+
+def test_whole_texts_and_statements_of_usual_licences(spark):
+    whole = {name: body for name, body in TEMPLATES if len(body) > 1000}
+    texts = [(n, b) for n, b in whole.items() if n in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "Apache-2.0", "MPL-2.0", "Unlicense")]
+    assert len(texts) == 7
+    texts += [("Apache-2.0", "Available under the Apache License 2.0"), ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+              ("AGPL-3.0", "You may use it under the GNU Affero General Public License, version 3, only."), ("EPL-2.0", "made available under the Eclipse Public License 2.0.")]
+    df = spark.createDataFrame([(i, prose(i, 30) + "\n\n" + body) for i, (_, body) in enumerate(texts)], "doc_id long, text string")
+    rows = scan_licenses(df).orderBy("doc_id").collect()
+    assert [r["license"] for r in rows] == [name for name, _ in texts]
+    assert all(r["dice"] == 1.0 for r, (name, _) in zip(rows, texts) if name != "AGPL-3.0")
+    line = spark.createDataFrame([(1, "This work is licensed under the GNU General Public License, version 3.")], "doc_id long, text string")
+    assert scan_licenses(line).first()["licenses"] == "GPL-2.0,GPL-3.0"

@@ -1,4 +1,7 @@
-"""Licence templates: short notices and whole texts. Fixed values, as their owners publish them."""
+"""Licence templates: short notices and whole texts. Fixed values, as their owners publish them; long texts are files of
+`license_data`, named by their licence."""
+
+import pkgutil
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
 (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
@@ -49,6 +52,20 @@ General Public License for more details. You should have received a copy of the
 MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with
 this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
+_GNU = """ is free software; you can redistribute it and/or modify it under the terms of the GNU {0} General Public License as published by the Free
+Software Foundation; either version {1} of the License, or (at your option) any later version. This {2} is distributed in the hope that it will be
+useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} General
+Public License for more details. You should have received a copy of the GNU {0} General Public License along with this {2}; if not, """
+_FSF = "write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."
+_SEE = "see <https://www.gnu.org/licenses/>."
+
+EPL_NOTICE = """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/"""
+
+#: Licences whose whole text is a file.
+WHOLE = ["Apache-2.0", "Artistic-1.0", "BSL-1.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0",
+         "MPL-1.1", "MPL-2.0", "Unlicense"]
+
 #: Name of the licence and a text that stands for it; a licence may have several.
 TEMPLATES = [
     ("MIT", MIT), ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."),
@@ -58,3 +75,13 @@ TEMPLATES = [
     ("MPL-2.0", MPL_NOTICE), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
+TEMPLATES += [
+    ("GPL-2.0", "This program" + _GNU.format("", 2, "program") + _FSF), ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This library" + _GNU.format("Lesser", "2.1", "library") + _FSF), ("LGPL-3.0", "This library" + _GNU.format("Lesser", 3, "library") + _SEE),
+    ("AGPL-3.0", "This program" + _GNU.format("Affero", 3, "program") + _SEE), ("EPL-2.0", EPL_NOTICE),
+    ("LGPL-2.1", "under GNU Lesser General Public License, version 2.1"), ("LGPL-3.0", "under GNU Lesser General Public License, version 3"),
+    ("AGPL-3.0", "under GNU Affero General Public License, version 3"), ("Apache-2.0", "under the Apache License 2.0"), ("MPL-2.0", "under the Mozilla Public License 2.0"),
+    ("EPL-2.0", "under the Eclipse Public License 2.0"), ("BSL-1.0", "under the Boost Software License 1.0"), ("ISC", "under the ISC License"),
+    ("BSD-2-Clause", "under the BSD 2-Clause License"), ("BSD-3-Clause", "under the BSD 3-Clause License"),
+]
+TEMPLATES += [(name, pkgutil.get_data(__package__, f"license_data/{name}.txt").decode()) for name in WHOLE]

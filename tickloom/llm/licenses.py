@@ -47,10 +47,10 @@ class Templates:
         self.least = max(1, math.ceil(least * percent / (200 - percent)))          # bigrams a part must have at least
         self.overlap = max(1, math.ceil(percent * (self.least + least) / 200))       # and in common with a template
 
-    def match(self, part: np.ndarray) -> Iterator[tuple[float, str]]:
-        """(coefficient, licence) of the templates that a set of bigrams is like."""
+    def match(self, part: np.ndarray, among: list[int]) -> Iterator[tuple[float, str]]:
+        """(coefficient, licence) of the templates that a set of bigrams is like, `among` those by size."""
         n = len(part)
-        for size, name, template in self.all:
+        for size, name, template in (self.all[t] for t in among):
             if size * (200 - self.percent) < self.percent * n:
                 continue
             if size * self.percent > (200 - self.percent) * n:
@@ -60,13 +60,26 @@ class Templates:
                 yield 2 * common / (n + size), name
 
 
+    def need(self, t: int) -> int:
+        """Bigrams of a template that whatever is like it has at least."""
+        return math.ceil(self.all[t][0] * self.percent / (200 - self.percent))
+
+    def candidates(self, slot: np.ndarray, row: np.ndarray) -> dict[int, list[int]]:
+        """The templates by size of which each row has enough bigrams."""
+        out: dict[int, list[int]] = {}
+        for t in range(len(self.all)):
+            if len(slot) >= self.need(t):
+                for r in np.flatnonzero(np.bincount(row[self.member[t, slot]]) >= self.need(t)):
+                    out.setdefault(int(r), []).append(t)
+        return out
+
     def starts(self, at: np.ndarray, slot: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(template, places where a run like it can start, how many of its bigrams follow there), given the place, the number
         among the known ones and the row of every known bigram of some texts."""
         for t, (size, _, _) in enumerate(self.all):
             own = self.member[t, slot]
             place, of = at[own], row[own]
-            need = math.ceil(size * self.percent / (200 - self.percent))
+            need = self.need(t)
             if len(place) < need:
                 continue
             last = len(place) - need + 1
@@ -141,6 +154,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: list[tuple[str
             for at, to, found in word_groups(batch.column(place), NOT_ALNUM):
                 pairs = _bigrams(found.number) if len(found.number) > 1 else np.zeros(0, np.uint64)
                 likely = np.zeros(len(pairs) + 1, np.int64)
+                among: dict[int, list[int]] = {}
                 runs: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
                 if len(known.known) and len(pairs):
                     near = np.minimum(np.searchsorted(known.known, pairs), len(known.known) - 1)
@@ -148,7 +162,9 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: list[tuple[str
                     likely[1:] = np.cumsum(seen)
                     seen[found.first[1:][(found.first[1:] > 0) & (found.first[1:] <= len(pairs))] - 1] = False          # from one row to the next
                     at_known = np.flatnonzero(seen)
-                    for t, starts, most in known.starts(at_known, near[at_known], np.searchsorted(found.first, at_known, "right")):
+                    row_of = np.searchsorted(found.first, at_known, "right") - 1
+                    among = known.candidates(near[at_known], row_of)
+                    for t, starts, most in known.starts(at_known, near[at_known], row_of):
                         of = np.searchsorted(found.first, starts, "right") - 1
                         cuts = np.flatnonzero(np.diff(of)) + 1
                         for begin, stop in zip([0, *cuts], [*cuts, len(of)]):
@@ -157,11 +173,11 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: list[tuple[str
                 for row in range(to - at):
                     a, b = int(found.first[row]), int(found.first[row + 1])
                     hits: set[tuple[float, str]] = set()
-                    if b - a > 1 and likely[b - 1] - likely[a] >= known.overlap:
+                    if row in among:
                         for start, end in parts_of(found.data, int(found.start[a]), int(found.end[b - 1])):
                             first, last = np.searchsorted(found.start, [start, end])
                             if last - first > known.least and likely[last - 1] - likely[first] >= known.overlap:
-                                hits.update(known.match(np.unique(pairs[first:last - 1])))
+                                hits.update(known.match(np.unique(pairs[first:last - 1]), among[row]))
                     if row in runs:
                         own, before = pairs[a:b - 1], earlier(pairs[a:b - 1])
                         for t, starts, most in runs[row]:
