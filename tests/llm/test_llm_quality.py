@@ -68,3 +68,13 @@ def test_odd_tables(spark, odd_docs, no_docs):
     assert len({r["score"] for r in rows if r["text"] in (None, "", " \n\t ")}) == 1
     assert {r["score"] for r in quality_scores(odd_docs, labels.limit(0)).collect()} == {0.5}
     assert quality_scores(no_docs, labels).count() == 0
+
+
+def test_texts_that_nothing_judged_stay(spark):
+    from tickloom.llm.quality import good_documents
+    docs = spark.createDataFrame([(i, f"some plain words number {i}") for i in range(8)] + [(8, ""), (9, None)], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert good_documents(docs, none).count() == 10
+    assert good_documents(docs, spark.createDataFrame([(77, 0)], "doc_id long, quality int")).count() == 10
+    bad = spark.createDataFrame([(i, 0) for i in range(8)], "doc_id long, quality int")
+    assert sorted(r["doc_id"] for r in good_documents(docs, bad).collect()) == [8, 9]

@@ -25,6 +25,7 @@ DIMENSIONS = 64
 NEIGHBOURS = 5
 BLOCK = 512              # documents compared at a time
 THRESHOLD = 0.7
+JUDGED = "judged_by_a_vote"
 
 KINDS, LENGTHS, WORDS = 1024, 16, 512
 REPEATED = np.array([0.01, 0.05, 0.2, 0.35, 0.5, 0.65, 0.8])     # shares of three words in a row that stood before
@@ -117,9 +118,14 @@ def fit(vectors: np.ndarray, label: np.ndarray, dimensions: int = DIMENSIONS) ->
 def vote(space: Space, vectors: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
     """The mean label of the nearest labelled documents, weighted by similarity. All that are as near as the last
     neighbour vote too, so the order of equal ones doesn't matter."""
-    score = np.full(len(vectors), space.prior)
+    return votes(space, vectors, neighbours)[0]
+
+
+def votes(space: Space, vectors: np.ndarray, neighbours: int) -> tuple[np.ndarray, np.ndarray]:
+    """The scores of `vote`, and which of them neighbours gave; the others are the prior."""
+    score, judged = np.full(len(vectors), space.prior), np.zeros(len(vectors), bool)
     if not len(space.known):
-        return score
+        return score, judged
     for at in range(0, len(vectors), BLOCK):
         here = unit(unit(vectors[at:at + BLOCK] * space.weight) @ space.axes).astype(np.float32)
         near = here @ space.known.T
@@ -128,8 +134,9 @@ def vote(space: Space, vectors: np.ndarray, neighbours: int = NEIGHBOURS) -> np.
         near = np.where((near >= last) & (near > 0), near, 0)
         total = near.sum(axis=1, dtype=np.float64)
         voted = near.astype(np.float64) @ space.label
+        judged[at:at + BLOCK] = total > 0
         score[at:at + BLOCK] = np.where(total > 0, voted / np.where(total > 0, total, 1), space.prior)
-    return score.clip(0, 1).round(6)
+    return score.clip(0, 1).round(6), judged
 
 
 def held_out(doc_id: str) -> Column:
@@ -170,23 +177,32 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
     The score comes from the text alone. Texts that are null, empty or without words get the mean label
     of the sample; without any label all scores are 0.5. Repeated rows are scored one by one. Columns
     named like an added one are replaced; `keep` names those that are carried along, all by default."""
+    scored = _scored(docs, labels, text, doc_id, label, sample, neighbours, threshold, keep)
+    return scored.drop(JUDGED)
+
+
+def _scored(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality",
+            sample: int = SAMPLE, neighbours: int = NEIGHBOURS, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
+    """`quality_scores` with the column `JUDGED`: whether a vote gave the score."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(sample_space(docs, labels, text, doc_id, label, sample))
     carried = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted")]
     names, place, places = columns_for(text, carried)
-    schema = T.StructType([docs.schema[c] for c in carried] + [T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([docs.schema[c] for c in carried] + [T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField(JUDGED, T.BooleanType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, vectors in text_vectors(batch.column(place)):
                 part = batch.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), part.column(len(names)), pa.array(vote(shared.value, vectors, neighbours))], schema.fieldNames())
+                score, judged = votes(shared.value, vectors, neighbours)
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), part.column(len(names)), pa.array(score), pa.array(judged)], schema.fieldNames())
 
     scored = docs.select(*names, held_out(doc_id).alias("held_out")).mapInArrow(frugal(task), schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """`docs` without those predicted 0; options as in `quality_scores`."""
-    return quality_scores(docs, labels, **options).where("predicted = 1").select(*docs.columns)
+    """`docs` without those that a vote rejects; options as in `quality_scores`. Texts that nothing is compared with stay: those
+    without words, and all of them if no label was learned from."""
+    return _scored(docs, labels, **options).where(f"predicted = 1 or not {JUDGED}").select(*docs.columns)
