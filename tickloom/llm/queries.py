@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from tickloom.llm.audit import filter_audit
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.fingerprints import fingerprints
 from tickloom.llm.jaccard import jaccard_components
@@ -140,3 +141,30 @@ def op8_fingerprints(spark, sf_dir):
 @query("op5_html")
 def op5_html(spark, sf_dir):
     return main_text(load(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+@query("op11_audit", f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+masks AS (
+  SELECT doc_id, part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+         + 4 * (100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 10 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask FROM doc),
+marks AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY 1),
+counts AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+           FROM masks LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+f(l, own) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (SELECT v.l || w.l || x.l || y.l || z.l AS filter_order, [v.own, w.own, x.own, y.own, z.own] AS owns
+           FROM f v, f w, f x, f y, f z WHERE v.own + w.own + x.own + y.own + z.own = 31 AND v.own | w.own | x.own | y.own | z.own = 31),
+steps AS (SELECT filter_order, CAST(k AS INT) AS step, owns[k] AS own, coalesce(list_sum(owns[1:k - 1]), 0)::INT AS before FROM orders, range(1, 6) t(k))
+SELECT part, filter_order, step,
+       CAST(sum(CASE WHEN mask & (before | own) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+       CAST(sum(CASE WHEN mask & before <> 0 AND mask & own <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+       CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+       CAST(sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+       CAST(sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+       CAST(sum(CASE WHEN mask & own <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END) AS BIGINT) AS shapley
+FROM counts, steps GROUP BY ALL""")
+def op11_audit(spark, sf_dir):
+    return filter_audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
