@@ -2,9 +2,9 @@ import re
 from itertools import permutations
 
 from llm_helpers import no_docs, odd_docs, prose  # noqa: F401
+from pyspark.sql import functions as F
 
 from tickloom.llm.audit import filter_audit, possible_repeats, sketch, sketch_blocks
-from pyspark.sql import functions as F
 
 NAMES = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
 
@@ -69,6 +69,6 @@ def test_sketch_clears_unique_texts_only(spark):
 
 
 def test_a_small_sketch_gives_the_same_counts(spark):
-    rows = [(k, prose(k % 150, 30 + k % 100), "en") for k in range(300)]
+    rows = [(k, prose(k % 150, 30 + k % 100), "en") for k in range(300)] + [(300 + k, t * 9, "en") for k, t in enumerate(["f", "f f", "\x0bx\x0cy\x1c\u00a0", "\x0b\x0c", "ff\r\n"])]
     docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert rows_of(filter_audit(docs, labels, most_cells=512)) == plain(rows, [])

@@ -23,15 +23,18 @@ CELLS_A_TEXT = 16
 BLOCK_CELLS = 512               # a text has all its cells in one block of eight 64-bit numbers
 MOST_CELLS = 1 << 29            # of the sketch, which is broadcast: 64 MB of bits
 HASHES = 3
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def row_failures(text: Column) -> dict[str, Column]:
+def words(text: str) -> Column:
+    """Words of a text that is not null; none of a blank one."""
+    bare = F.expr(f"trim(BOTH ' \\t\\n\\u000B\\u000C\\r' FROM {text})")
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "[\\x20\\x09-\\x0D]+"))
+
+
+def row_failures(text: Column, words: Column) -> dict[str, Column]:
     """The filters that look at one text, as conditions for failing: under 100 words, under 80 % distinct words, over
     10 % capitals A-Z among its code points, one of the signs `#$%&*|`."""
-    words = F.regexp_extract_all(text, F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    n, distinct = F.size(words), F.size(F.array_distinct(words))
-    capitals = F.length(text) - F.length(F.translate(text, CAPITALS, ""))
+    n, distinct, capitals = F.size(words), F.size(F.array_distinct(words)), F.regexp_count(text, F.lit("[A-Z]"))
     return {"A": n < 100, "B": 100 * distinct < 80 * n, "C": 100 * capitals > 10 * F.length(text), "D": text.rlike("[#$%&*|]")}
 
 
@@ -75,9 +78,9 @@ def failure_masks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     A text fails E if a row with a smaller id has the same whole text. A null text is empty, a null part too; a row
     without an id is neither smaller than others nor fails E, and of rows with one id and one text none is smaller."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    mask = reduce(lambda a, b: a + b, [F.when(fails, bit(name)).otherwise(0) for name, fails in row_failures(whole).items()])
-    rows = written(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(part), F.lit("")).alias("part"),
-                               mask.alias("mask"), F.xxhash64(whole).alias("h")), "masks")
+    each = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(part), F.lit("")).alias("part"), whole.alias("text")).withColumn("words", words("text"))
+    mask = reduce(lambda a, b: a + b, [F.when(fails, bit(name)).otherwise(0) for name, fails in row_failures(F.col("text"), F.col("words")).items()])
+    rows = written(each.select("doc_id", "part", mask.alias("mask"), F.xxhash64("text").alias("h")), "masks")
     blocks = sketch_blocks(rows.count(), most_cells)
     found = written(sketch(rows.select("h"), blocks), "sketch")
     texts = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("h"))
@@ -104,10 +107,10 @@ def audit(counts: DataFrame) -> DataFrame:
     """One row per part, order of all filters and step: `kept` after it, `removed` by it, `redundant` (fail its filter, gone
     before), `unique_fails` (fail nothing else), marked documents it takes, and `shapley`, what its filter removes in all
     orders together: a document that fails k filters falls to each of them in one of k orders."""
-    steps = F.array(*[F.struct(F.lit("".join(o)).alias("filter_order"), F.lit(k + 1).alias("step"), F.lit(bit(o[k])).alias("own"),
-                               F.lit(sum(bit(f) for f in o[:k])).alias("before")) for o in permutations(FILTERS) for k in range(len(FILTERS))])
-    orders = len(list(permutations(FILTERS)))
-    spread = counts.select("*", F.explode(steps).alias("s")).select("*", "s.*")
+    steps = [f"struct('{''.join(o)}' as filter_order, {k + 1} as step, {bit(o[k])} as own, {sum(bit(f) for f in o[:k])} as before)"
+             for o in permutations(FILTERS) for k in range(len(FILTERS))]
+    orders = len(steps) // len(FILTERS)
+    spread = counts.select("*", F.explode(F.expr(f"array({', '.join(steps)})")).alias("s")).select("*", "s.*")
     fails, gone = F.col("mask").bitwiseAND(F.col("own")) != 0, F.col("mask").bitwiseAND(F.col("before")) != 0
 
     def total(condition, column="n"):
