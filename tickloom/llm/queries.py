@@ -16,6 +16,7 @@ from tickloom.llm.pii import pseudonymise
 from tickloom.llm.quality import quality_scores
 from tickloom.llm.sharding import shard
 from tickloom.llm.urls import PATTERNS, UNWANTED, Rule, url_verdicts
+from tickloom.llm.whitening import whiten
 from tickloom.plans.registry import query
 from tickloom.plans.tables import load
 
@@ -168,3 +169,8 @@ SELECT part, filter_order, step,
 FROM counts, steps GROUP BY ALL""")
 def op11_audit(spark, sf_dir):
     return filter_audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whiten(load(spark, sf_dir, "embeddings"))
