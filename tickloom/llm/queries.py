@@ -15,6 +15,7 @@ from tickloom.llm.pages import main_text
 from tickloom.llm.pii import pseudonymise
 from tickloom.llm.quality import quality_scores
 from tickloom.llm.sharding import shard
+from tickloom.llm.toxicity import toxicity_scores
 from tickloom.llm.urls import PATTERNS, UNWANTED, Rule, url_verdicts
 from tickloom.llm.whitening import whiten
 from tickloom.plans.registry import query
@@ -174,3 +175,9 @@ def op11_audit(spark, sf_dir):
 @query("op12_whitening")
 def op12_whitening(spark, sf_dir):
     return whiten(load(spark, sf_dir, "embeddings"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark, sf_dir):
+    scored = toxicity_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), keep=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
