@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.operators import indicators as I
+from tickloom.operators import panes as P
 from tickloom.operators import series as R
 from tickloom.operators.filters import min_history
 
@@ -105,7 +106,7 @@ def test_history_is_ordered_and_whole(rows):
 def test_sliding_windows_of_any_size(rows, size, step):
     df = rows("symbol string, frame string, ts long, closeBid double",
               *[(s, "m1", t, float(t)) for s in ("A", None) for t in (60, 120, 300, 3600, 3660, 90_000)])
-    got = R.sliding_history(df, size, step, fields=("closeBid",)).filter("symbol = 'A'")
+    got = P.sliding_history(df, size, step, fields=("closeBid",)).filter("symbol = 'A'")
     want = {}
     for t in (60, 120, 300, 3600, 3660, 90_000):
         start = t // step * step
@@ -113,7 +114,7 @@ def test_sliding_windows_of_any_size(rows, size, step):
             want.setdefault((start, start + size), []).append(t)
             start -= step
     assert {(r["start"], r["end"]): [c["ts"] for c in r["history"]] for r in got.collect()} == want
-    assert R.sliding_history(df, size, step, fields=("closeBid",)).filter("symbol is null").count() == len(want)
+    assert P.sliding_history(df, size, step, fields=("closeBid",)).filter("symbol is null").count() == len(want)
 
 
 def test_many_last_rows_rank_only_the_newest_slots(spark):

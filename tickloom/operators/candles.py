@@ -36,7 +36,7 @@ def ohlc(rank):
     return out
 
 
-def _merge(order):
+def merge_candles(order):
     """Aggregates that join candles of a short frame to one of a longer frame."""
     out = []
     for side in ("Bid", "Ask"):
@@ -46,6 +46,11 @@ def _merge(order):
     return out
 
 
+def targets(frames, time):
+    """For a narrow candle that begins at `time`, the frames and the ends of the candles it is part of."""
+    return F.array(*[F.struct(F.lit(name).alias("frame"), candle_end(time, width).alias("end")) for name, width in frames.items()])
+
+
 def candles(ticks, frames=None, order=("updated", "event_id")):
     """Bid and ask candles of every frame; `ts` is the window end in epoch seconds.
 
@@ -59,15 +64,18 @@ def candles(ticks, frames=None, order=("updated", "event_id")):
               .groupBy("symbol", "ts").agg(*ohlc("_rank")))
     if list(frames.values()) == [base]:
         return narrow.select("symbol", F.lit(next(iter(frames))).alias("frame"), *OHLC, "ts")
-    targets = F.array(*[
-        F.struct(F.lit(name).alias("frame"), candle_end(F.col("ts") - base, width).alias("end"))
-        for name, width in frames.items()])
-    return (narrow.withColumn("_to", F.explode(targets))
+    return (narrow.withColumn("_to", F.explode(targets(frames, F.col("ts") - base)))
             .select("symbol", F.col("_to.frame").alias("frame"), F.col("_to.end").alias("_end"), "ts", *OHLC)
-            .groupBy("symbol", "frame", F.col("_end")).agg(*_merge("ts"))
+            .groupBy("symbol", "frame", F.col("_end")).agg(*merge_candles("ts"))
             .select("symbol", "frame", *OHLC, F.col("_end").alias("ts")))
 
 
+def in_slots(ticks, slot_seconds, order):
+    """Ticks with the start of their slot and their rank in it."""
+    return ticks.select("symbol", "bid", "ask", *order, (candle_end(to_seconds("updated"), slot_seconds) - slot_seconds).alias("_slot"),
+                        tick_rank(order, slot_seconds).alias("_rank"))
+
+
 def live_candles(ticks, frames=None, order=("updated", "event_id"), slot_seconds=10):
     """The forming candle after every tick: one row per tick and frame.
 
@@ -78,21 +86,23 @@ def live_candles(ticks, frames=None, order=("updated", "event_id"), slot_seconds
     """
     frames = frames or FRAMES
     slot_seconds = gcd(slot_seconds, *frames.values())
-    spread = ticks.select("symbol", "bid", "ask", *order,
-                          (candle_end(to_seconds("updated"), slot_seconds) - slot_seconds).alias("_slot"),
-                          tick_rank(order, slot_seconds).alias("_rank"))
-    targets = F.array(*[F.struct(F.lit(name).alias("frame"), candle_end("_slot", width).alias("ts"))
-                        for name, width in frames.items()])
+    spread = in_slots(ticks, slot_seconds, order)
     per_slot = spread.groupBy("symbol", "_slot").agg(*ohlc("_rank"))
     before = (Window.partitionBy("symbol", "_to").orderBy("_slot")
               .rowsBetween(Window.unboundedPreceding, -1))
     merges = [(kind + side, merge) for side in ("Bid", "Ask")
               for kind, merge in (("open", F.first), ("high", F.max), ("low", F.min))]
     names = [name for name, _ in merges]
-    carried = (per_slot.withColumn("_to", F.explode(targets))
-               .select("symbol", "_slot", "_to.*", *[merge(c).over(before).alias(c) for c, merge in merges])
+    carried = (per_slot.withColumn("_to", F.explode(targets(frames, "_slot")))
+               .select("symbol", "_slot", "_to.frame", F.col("_to.end").alias("ts"), *[merge(c).over(before).alias(c) for c, merge in merges])
                .groupBy("symbol", "_slot")
                .agg(F.collect_list(F.struct("frame", "ts", *names)).alias("_past")))
+    return ticks_on_past(spread, carried, order)
+
+
+def ticks_on_past(ticks, carried, order):
+    """The forming candle after every tick of a slot. `carried` has, for each instrument and slot, as `_past` what the candle of each frame held
+    before the slot; of a frame that is missing there nothing comes."""
     within = (Window.partitionBy("symbol", "_slot").orderBy("_rank")
               .rowsBetween(Window.unboundedPreceding, 0))
     run = {}
@@ -106,7 +116,7 @@ def live_candles(ticks, frames=None, order=("updated", "event_id"), slot_seconds
                   F.col(price).alias("close" + side),
                   F.greatest("_p.high" + side, f"_high_{price}").alias("high" + side),
                   F.least("_p.low" + side, f"_low_{price}").alias("low" + side)]
-    return (join_keys(spread, carried, ["symbol", "_slot"]).withColumns(run)
+    return (join_keys(ticks, carried, ["symbol", "_slot"]).withColumns(run)
             .withColumn("_p", F.explode("_past"))
             .select("symbol", "_p.frame", *shown, "_p.ts", *order))
 

@@ -9,7 +9,6 @@ helpers here cut a series into time slots and stay exact:
 
 from decimal import Decimal
 from functools import reduce
-from math import gcd
 from operator import and_
 
 from pyspark.sql import Window
@@ -169,27 +168,6 @@ def history(df, seconds=3 * 86400, fields=("openBid", "highBid", "lowBid", "clos
             .agg(F.array_sort(F.collect_list(entry)).alias("history")))
 
 
-def sliding_history(df, size, step, fields=("openBid", "highBid", "lowBid", "closeBid"), keys=SERIES):
-    """Ordered candle arrays per series and sliding window of `size` seconds that begins at every
-    multiple of `step`. Rows are gathered once by the longest span that divides both, and
-    those few spans are copied into the windows that hold them, not the rows."""
-    grain = gcd(size, step)
-    spans = (df.filter(F.col("ts").isNotNull())
-             .groupBy(*keys, (F.floor(F.col("ts") / grain) * grain).alias("_span"))
-             .agg(F.array_sort(F.collect_list(F.struct("ts", *fields))).alias("_rows")))
-    return (spans.withColumn("start", F.explode(window_starts("_span", size, step)))
-            .groupBy(*keys, "start").agg(F.array_sort(F.collect_list(F.struct("_span", "_rows"))).alias("_spans"))
-            .select(*keys, "start", (F.col("start") + size).alias("end"), F.flatten("_spans._rows").alias("history")))
-
-
-def window_starts(time, size, step):
-    """Starts of the windows that hold a time in epoch seconds, as an array; none where
-    the step is longer than the window and the time lies between two."""
-    first = (F.floor((F.col(time) - size) / step) + 1) * step
-    last = F.floor(F.col(time) / step) * step
-    return F.when(first <= last, F.sequence(first, last, F.lit(step).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-
-
 def last_rows(df, n, keys=SERIES, order="ts", skip=0):
     """The last n rows of every series, leaving out the newest `skip`.
 

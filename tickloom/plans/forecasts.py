@@ -162,6 +162,12 @@ diffs AS (SELECT symbol, frame, newest, mid, 0.7 * "closeBid" + 0.3 * "openBid"
 SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + 3600 AS BIGINT) AS ts FROM diffs"""
 
 
+#: The same for candles of all frames.
+SQL_ALL_FORECASTS = f"""WITH {SQL_BLOCKS.replace(T.SQL_H1, T.SQL_ALL)},
+diffs AS (SELECT symbol, frame, newest, mid, 0.7 * "closeBid" + 0.3 * "openBid" AS diff FROM points WHERE step = -1)
+SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + seconds AS BIGINT) AS ts FROM diffs JOIN frames USING (frame)"""
+
+
 @query("forecast", f"{SQL_RAW_FORECAST} {SQL_NEWEST}")
 def forecast(spark, sf):
     return X.forecast(bars(spark, sf), MODEL)

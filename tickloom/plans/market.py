@@ -134,12 +134,15 @@ def candles_hashed_ids(spark, sf):
     return C.candles(hashed, {"D1": 86400}, order=("updated", "h")).select("symbol", "ts", "openBid", "closeBid")
 
 
-@query("live_candles", f"""WITH {T.SQL_ALL}
+LIVE_SQL = f"""WITH {T.SQL_ALL}
 SELECT symbol, frame, first_value(bid) OVER w AS "openBid", bid AS "closeBid", max(bid) OVER w AS "highBid",
        min(bid) OVER w AS "lowBid", first_value(ask) OVER w AS "openAsk", ask AS "closeAsk",
        max(ask) OVER w AS "highAsk", min(ask) OVER w AS "lowAsk", CAST(cts AS BIGINT) AS ts, updated, event_id
 FROM placed WINDOW w AS (PARTITION BY symbol, frame, cts ORDER BY updated, event_id
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@query("live_candles", LIVE_SQL)
 def live_candles(spark, sf):
     return C.live_candles(T.ticks(spark, sf))
 

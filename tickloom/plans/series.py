@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.scalar import epoch_millis, tail
 from tickloom.operators import features as X
 from tickloom.operators import indicators as I
+from tickloom.operators import panes as P
 from tickloom.operators import series as R
 from tickloom.plans import tables as T
 from tickloom.plans.registry import query
@@ -148,7 +149,7 @@ SELECT symbol, frame, CAST(start AS BIGINT) AS start, CAST(start + 259200 AS BIG
        min(ts) AS first_ts, max(ts) AS last_ts, last("closeBid" ORDER BY ts) AS "closeBid"
 FROM placed_windows GROUP BY symbol, frame, start""")
 def sliding_history(spark, sf):
-    packed = R.sliding_history(T.hour_candles(spark, sf), size=3 * 86400, step=6 * 3600, fields=("closeBid",))
+    packed = P.sliding_history(T.hour_candles(spark, sf), size=3 * 86400, step=6 * 3600, fields=("closeBid",))
     last = F.element_at("history", -1)
     return packed.select("symbol", "frame", "start", "end", F.size("history").cast("long").alias("n"),
                          F.element_at("history", 1)["ts"].alias("first_ts"), last["ts"].alias("last_ts"),
@@ -167,10 +168,9 @@ SELECT symbol, frame, CAST(start // 86400 AS BIGINT) AS day, count(*) AS windows
        CAST(sum(first_ts) AS BIGINT) AS first_ts, CAST(sum(last_ts) AS BIGINT) AS last_ts FROM windows GROUP BY 1, 2, 3""")
 def sliding_history_minute(spark, sf):
     """Three days, moved every minute; the windows of a day are summed up."""
-    packed = R.sliding_history(T.hour_candles(spark, sf), size=3 * 86400, step=60, fields=())
-    return packed.groupBy("symbol", "frame", F.expr("start div 86400").alias("day")).agg(
-        F.count(F.lit(1)).alias("windows"), F.sum(F.size("history").cast("long")).alias("n"),
-        F.sum(F.element_at("history", 1)["ts"]).alias("first_ts"), F.sum(F.element_at("history", -1)["ts"]).alias("last_ts"))
+    windows = P.sliding_windows(T.hour_candles(spark, sf), size=3 * 86400, step=60)
+    return windows.groupBy("symbol", "frame", F.expr("start div 86400").alias("day")).agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("n").alias("n"), F.sum("first_ts").alias("first_ts"), F.sum("last_ts").alias("last_ts"))
 
 
 def doubled(df):

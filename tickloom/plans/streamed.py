@@ -4,11 +4,14 @@ what was written."""
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import fixed_text
+from tickloom.operators import panes as P
+from tickloom.operators import series as R
 from tickloom.plans import tables as T
-from tickloom.plans.forecasts import MODEL, SQL_RAW_FORECAST
+from tickloom.plans.forecasts import MODEL, SQL_ALL_FORECASTS
+from tickloom.plans.market import LIVE_SQL
 from tickloom.plans.registry import query
 from tickloom.plans.series import SQL_MINUTE_WINDOWS, SQL_UNEVEN, uneven
-from tickloom.schemas import CANDLE, PREDICTION
+from tickloom.schemas import CANDLE, OHLC, PREDICTION
 from tickloom.session import fresh_dir
 from tickloom.sources import envelope as E
 from tickloom.streaming import streams as S
@@ -38,12 +41,6 @@ def candle_stream(spark, sf):
     return read(spark, collect(spark, S.candle_streams(T.tick_stream(spark, sf))), CANDLE.names)
 
 
-@query("live_stream", f"WITH {T.SQL_H1} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles")
-def live_stream(spark, sf):
-    path = collect(spark, S.candle_stream(T.tick_stream(spark, sf), "H1"), "update")
-    return S.final_state(spark, path, ["symbol", "frame", "ts"]).select(*CANDLE.names)
-
-
 def candle_source(spark, sf, bars=None):
     """Candles written to a folder and read as a stream."""
     path = fresh_dir(spark, "candle-source")
@@ -52,43 +49,55 @@ def candle_source(spark, sf, bars=None):
 
 
 def write_parts(df, path, column, parts, of=5):
-    """Some of five parts of a table by ranges of a column, one file after the other."""
+    """Some of five parts of a table by ranges of a column."""
     low, high = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
     part = F.least(F.floor((F.col(column).cast("double") - low) / ((high - low) / of or 1)), F.lit(of - 1))
-    for k in parts:
-        df.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+    df.filter(part.isin(*parts)).write.mode("append").parquet(path)
 
 
-def in_parts(spark, df, column):
-    """A table as a stream of five files, a batch each, by ranges of a column."""
+def in_parts(spark, df, column, start, of=5):
+    """Feed a table to a stream in five batches by ranges of a column. `start` begins the stream of a folder, which goes on from its checkpoint
+    whenever the next part has come, and takes that in as one batch of as many files as tasks wrote."""
     path = fresh_dir(spark, "parts")
-    write_parts(df, path, column, range(5))
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    for k in range(of):
+        write_parts(df, path, column, [k], of)
+        finish(start(spark.readStream.schema(df.schema).parquet(path)))
+
+
+def collect_parts(spark, df, column, stream, mode="append", of=5):
+    """Run a stream over the parts of a table into a new folder and give the folder."""
+    root = fresh_dir(spark, "stream")
+    in_parts(spark, df, column, lambda source: S.to_files(stream(source), f"{root}/out", f"{root}/checkpoint", mode), of)
+    return f"{root}/out"
+
+
+@query("live_stream", LIVE_SQL)
+def live_stream(spark, sf):
+    """The forming candles of all frames after every tick; ticks come in five batches."""
+    root = fresh_dir(spark, "stream")
+    in_parts(spark, T.ticks(spark, sf), "updated", lambda ticks: S.live_stream(ticks, f"{root}/out", f"{root}/checkpoint"))
+    return read(spark, f"{root}/out", ["symbol", "frame", *OHLC, "ts", "updated", "event_id"])
 
 
 @query("candle_stream_parts", f"WITH {T.SQL_ALL} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles WHERE {SQL_CLOSED}")
 def candle_stream_parts(spark, sf):
     """Ticks in five batches: a candle that lies in two of them is whole."""
-    ticks = in_parts(spark, T.ticks(spark, sf), "updated")
-    return read(spark, collect(spark, S.candle_streams(ticks)), CANDLE.names)
+    return read(spark, collect_parts(spark, T.ticks(spark, sf), "updated", S.candle_streams), CANDLE.names)
 
 
-@query("late_stream", f"""WITH {T.SQL_H1} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles WHERE {SQL_CLOSED}""")
+@query("late_stream", f"""WITH {T.SQL_ALL} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles WHERE {SQL_CLOSED}""")
 def late_stream(spark, sf):
     """Every tick comes again an hour and more behind the last one of a later batch, with another price; the
     watermark keeps it out of the closed candles."""
     ticks = T.ticks(spark, sf).withColumn("_at", F.col("updated"))
     again = ticks.withColumns({"bid": F.col("bid") + 9, "ask": F.col("ask") + 9, "_at": F.col("updated") + 7 * 86_400_000})
     last = ticks.agg(F.max("updated")).first()[0]
-    both = ticks.unionByName(again.filter(F.col("_at") <= last))
-    path = fresh_dir(spark, "parts")
-    for k in range(10):     # ten ranges of arrival, each shorter than the delay of the second copy
-        write_parts(both, path, "_at", [k], of=10)
-    stream = spark.readStream.schema(both.schema).option("maxFilesPerTrigger", 1).parquet(path).drop("_at")
-    return read(spark, collect(spark, S.candle_stream(stream, "H1")), CANDLE.names)
+    both = ticks.unionByName(again)
+    path = collect_parts(spark, both.filter(F.col("_at") <= last), "_at", lambda stream: S.candle_streams(stream.drop("_at")), of=10)
+    return read(spark, path, CANDLE.names)      # ten ranges of arrival, each shorter than the delay of the second copy
 
 
-@query("sliding_stream", f"""WITH {T.SQL_H1},
+@query("sliding_stream", f"""WITH {T.SQL_ALL},
 steps AS (SELECT unnest(range(0, 12)) AS k),
 placed_windows AS (
   SELECT symbol, frame, ts, "closeBid", ts // 21600 * 21600 - k * 21600 AS start FROM candles CROSS JOIN steps)
@@ -96,19 +105,23 @@ SELECT symbol, frame, CAST(start AS BIGINT) AS start, CAST(start + 259200 AS BIG
        last("closeBid" ORDER BY ts) AS "closeBid", max(ts) AS ts
 FROM placed_windows GROUP BY symbol, frame, start""")
 def sliding_stream(spark, sf):
-    path = collect(spark, S.sliding_stream(candle_source(spark, sf), 3 * 86400, 6 * 3600), "update")
-    return S.final_state(spark, path, ["symbol", "frame", "start", "end"])
+    """Windows as they come out of every batch; those that a later batch changed come again."""
+    size, step, root = 3 * 86400, 6 * 3600, fresh_dir(spark, "stream")
+    in_parts(spark, T.all_candles(spark, sf), "ts", lambda bars: S.sliding_to_files(S.sliding_stream(bars, size, step), root, f"{root}/checkpoint", size, step))
+    windows = P.each_window(spark.read.parquet(f"{root}/windows").withColumn("n", F.struct("batch", "n")), size, step)
+    newest = R.latest(windows.withColumns({"batch": F.col("n.batch"), "n": F.col("n.n")}), ["symbol", "frame", "start", "end"], "batch")
+    return newest.select("symbol", "frame", "start", "end", "n", F.col("last").alias("closeBid"), F.col("last_ts").alias("ts"))
 
 
 @query("sliding_stream_minute", f"""WITH {SQL_MINUTE_WINDOWS},
        CAST(sum(last_ts) AS BIGINT) AS last_ts FROM windows GROUP BY 1, 2, 3""")
 def sliding_stream_minute(spark, sf):
     """Three days, moved every minute, over candles that come in five files."""
-    bars = T.hour_candles(spark, sf)
-    path = collect(spark, S.sliding_stream(in_parts(spark, bars, "ts"), 3 * 86400, 60), "update")
-    return (S.final_state(spark, path, ["symbol", "frame", "start", "end"])
-            .groupBy("symbol", "frame", F.expr("start div 86400").alias("day"))
-            .agg(F.count(F.lit(1)).alias("windows"), F.sum("n").alias("n"), F.sum("ts").alias("last_ts")))
+    size, step = 3 * 86400, 60
+    path = collect_parts(spark, T.hour_candles(spark, sf), "ts", lambda bars: S.sliding_stream(bars, size, step), "update")
+    windows = P.each_window(P.window_runs(S.final_state(spark, path, ["symbol", "frame", "pane"]), size, step), size, step)
+    return (windows.groupBy("symbol", "frame", F.expr("start div 86400").alias("day"))
+            .agg(F.count(F.lit(1)).alias("windows"), F.sum("n").alias("n"), F.sum("last_ts").alias("last_ts")))
 
 
 @query("dedup_stream", f"WITH {T.SQL_H1} SELECT symbol, frame, ts FROM candles")
@@ -124,8 +137,9 @@ QUALIFY ts > coalesce(max(ts) OVER (PARTITION BY symbol ORDER BY arrival
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)""")
 def monotonic_stream(spark, sf):
     """Records in five batches by arrival."""
-    records = in_parts(spark, uneven(T.load(spark, sf, "events")), "arrival")
-    return read(spark, collect(spark, S.monotonic_stream(records, ["symbol"])), ["symbol", "ts", "bid", "arrival"])
+    root, records = fresh_dir(spark, "stream"), uneven(T.load(spark, sf, "events"))
+    in_parts(spark, records, "arrival", lambda stream: S.monotonic_stream(stream, f"{root}/out", f"{root}/checkpoint", ["symbol"]))
+    return read(spark, f"{root}/out", ["symbol", "ts", "bid", "arrival"])
 
 
 @query("latest_stream", f"""WITH {T.SQL_TICKS} SELECT symbol, bid, ask, high, low, updated, event_id FROM ticks
@@ -135,7 +149,7 @@ def latest_stream(spark, sf):
     return S.final_state(spark, path, ["symbol"])
 
 
-@query("restarted_stream", f"WITH {T.SQL_H1} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles WHERE {SQL_CLOSED}")
+@query("restarted_stream", f"WITH {T.SQL_ALL} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles WHERE {SQL_CLOSED}")
 def restarted_stream(spark, sf):
     """Stopped in the middle and started again on the same checkpoint, twice: what came meanwhile is added, open
     candles go on, and a run without news adds nothing."""
@@ -143,7 +157,7 @@ def restarted_stream(spark, sf):
     for parts in ([0, 1], [2, 3, 4], []):
         write_parts(ticks, f"{root}/in", "updated", parts)
         stream = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-        finish(S.to_files(S.candle_stream(stream, "H1"), f"{root}/out", f"{root}/checkpoint"))
+        finish(S.to_files(S.candle_streams(stream), f"{root}/out", f"{root}/checkpoint"))
     return read(spark, f"{root}/out", CANDLE.names)
 
 
@@ -172,8 +186,9 @@ def route_stream(spark, sf):
     return read(spark, f"{root}/candle", columns).unionByName(read(spark, f"{root}/predictioncandle", columns))
 
 
-@query("forecast_stream", SQL_RAW_FORECAST)
+@query("forecast_stream", SQL_ALL_FORECASTS)
 def forecast_stream(spark, sf):
+    """Forecasts of all frames; candles come in five batches."""
     root = fresh_dir(spark, "stream")
-    finish(S.forecast_stream(candle_source(spark, sf), MODEL, f"{root}/out", f"{root}/state", f"{root}/checkpoint"))
+    in_parts(spark, T.all_candles(spark, sf), "ts", lambda bars: S.forecast_stream(bars, MODEL, f"{root}/out", f"{root}/checkpoint"))
     return read(spark, f"{root}/out", ["symbol", "frame", "prediction", "ts"])
