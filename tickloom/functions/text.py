@@ -140,8 +140,8 @@ def parse_utc(col):
 
 
 def parse_iso(col):
-    """ISO date-time to a timestamp; without an offset it is read as UTC."""
-    col = F.trim(_col(col))
+    """ISO date-time to a timestamp; without an offset it is read as UTC. Blank text is no time."""
+    col = F.nullif(F.trim(_col(col)), F.lit(""))
     zoned = col.rlike(r"(?i)([zZ]|[+-]\d{2}:?\d{2})$") & col.contains(":")
     text = F.when(zoned, F.regexp_replace(col, r"([+-]\d{2})(\d{2})$", "$1:$2"))
     return F.try_to_timestamp(F.coalesce(text, F.concat(col, F.when(col.contains(":"), "Z").otherwise("T00:00:00Z"))))
