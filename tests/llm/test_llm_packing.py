@@ -11,13 +11,18 @@ from tickloom.llm.packing import Bins, Encoder, pack, sequences
 from tickloom.llm.words import texts
 
 
-@pytest.fixture(scope="module")
-def plain():
+def plainly(special_as_text=False):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
+    if special_as_text:
+        tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
+@pytest.fixture(scope="module")
+def plain():
+    return plainly()
+
+
 def check(pieces, docs, plain, capacity):
     """Each id in one piece, sequences gapless and within capacity. Returns padding over ids."""
     by = {}
@@ -39,12 +44,15 @@ def check(pieces, docs, plain, capacity):
     return sum(0 if u & (u - 1) == 0 else capacity - u for u in used.values()) / sum(used.values())
 
 
-def test_encoder_gives_the_ids_of_the_tokenizer(plain):
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_encoder_gives_the_ids_of_the_tokenizer(special_as_text):
+    plain = plainly(special_as_text)
+    assert (plain("hello <|endoftext|> world")[:-1] == [3306, 49407, 1002]) != special_as_text
     draw = random.Random(3)
-    signs = list("abcXYZ  \n\n\t.,'#!1é9ßÜ×÷ñ") + ["'s", "'re", "\u0301", "α", "J", "\u030c", "\u00a0", "日", "\x00", "<|endoftext|>", "ª", "İ", "\u2028"]
+    signs = list("abcXYZ  \n\n\t.,'#!1é9ßÜ×÷ñ") + ["'s", "'re", "\u0301", "α", "J", "\u030c", "\u00a0", "日", "\x00", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endof", "text|>", "ª", "İ", "\u2028"]
     made = ["".join(draw.choice(signs) for _ in range(draw.randrange(60))) for _ in range(3000)] + [None, ""]
     for cached in (1_000_000, 500):
-        encoder = Encoder(TOKENIZER, cached)
+        encoder = Encoder(TOKENIZER, cached, special_as_text)
         for at in range(0, len(made), 700):
             ids, until = encoder.encode(*texts(pa.array(made[at:at + 700], pa.string())))
             for k, text in enumerate(made[at:at + 700]):

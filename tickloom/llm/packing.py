@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.words import frugal, groups, numbers, ship, texts
+from tickloom.llm.words import _LOWER, frugal, groups, numbers, ship, texts
 
 CAPACITY = 4096
 CLASSES = 16             # lengths under capacity / CLASSES share one bin
@@ -38,9 +38,10 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[10, 32]] = True
 
 
-def pieces_of_text(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pieces_of_text(data: np.ndarray, offsets: np.ndarray, whole: tuple[bytes, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where texts can be cut without changing their tokens: at spaces and line ends, and behind a run of
-    letters that an ASCII character other than a letter follows. Returns start, end and first piece of each row."""
+    letters that an ASCII character other than a letter follows, but never inside one of the strings `whole`, in small letters, in
+    any case. Returns start, end and first piece of each row."""
     space = _SPACE[data]
     ascii_other = (data < 128) & ~_LETTER[data] & ~space
     letter = _LETTER[data]
@@ -49,6 +50,12 @@ def pieces_of_text(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     letter |= lead
     begin = np.zeros(len(data), bool)
     begin[1:] = (space[:-1] & ~space[1:]) | (letter[:-1] & ascii_other[1:])
+    small = _LOWER[data].tobytes() if whole else b""
+    for string in whole:
+        at = small.find(string)
+        while at >= 0:
+            begin[at + 1:at + len(string)] = False
+            at = small.find(string, at + 1)
     rows = offsets[:-1][offsets[:-1] < len(data)]
     begin[rows] = ~space[rows]
     start = np.flatnonzero(begin)
@@ -63,13 +70,15 @@ def pieces_of_text(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
 
 class Encoder:
     """Token ids of whole texts by a tokenizer file, each distinct piece encoded once per cache.
-    The cache is bounded: when full it starts anew."""
+    The cache is bounded: when full it starts anew. A special token's string in a text gives that token, unless `special_as_text`."""
 
-    def __init__(self, path: str, cached: int = CACHED_WORDS):
+    def __init__(self, path: str, cached: int = CACHED_WORDS, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = () if special_as_text else self.tokenizer.get_added_tokens_decoder().values()
+        self.whole = tuple(_LOWER[np.frombuffer(token.content.encode(), np.uint8)].tobytes() for token in added)
         self.cached = cached
         self.clear()
 
@@ -93,7 +102,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All token ids of a group of rows and the offset of every row among them."""
-        start, end, first = pieces_of_text(data, offsets)
+        start, end, first = pieces_of_text(data, offsets, self.whole)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         distinct, where, which = np.unique(numbers(data, start, end), return_index=True, return_inverse=True)
@@ -115,14 +124,15 @@ class Encoder:
         return ids, until[first]
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
+_encoders: dict[tuple[str, int, bool], Encoder] = {}
 
 
-def encoder(path: str, cached: int = CACHED_WORDS) -> Encoder:
+def encoder(path: str, cached: int = CACHED_WORDS, special_as_text: bool = False) -> Encoder:
     """One encoder per Python worker, so that its cache outlives a task."""
-    if (path, cached) not in _encoders:
-        _encoders[path, cached] = Encoder(path, cached)
-    return _encoders[path, cached]
+    key = path, cached, special_as_text
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 class Bins:
@@ -197,11 +207,11 @@ class Bins:
 
 
 def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", capacity: int = CAPACITY,
-         classes: int = CLASSES, slack: int = SLACK, with_ids: bool = False) -> DataFrame:
+         classes: int = CLASSES, slack: int = SLACK, with_ids: bool = False, special_as_text: bool = False) -> DataFrame:
     """The pieces of all documents and the sequences they lie in.
 
     A document is its token ids by the tokenizer file at the path `tokenizer` (the same on every
-    machine), without special tokens, and the id 2; null is the empty text, which is that id alone. Each id lies
+    machine), with no special tokens added, and the id 2; the string of a special token in a text gives that token unless `special_as_text`; null is the empty text, which is that id alone. Each id lies
     in exactly one piece. Returns doc_id, `start` (ids of the document before the piece), `length`, `ids_crc32`
     (of the ids as little-endian 32-bit numbers), `doc_tokens`, `sequence_id`, `offset` (gapless in the sequence)
     and, if asked for, `ids`. Sequences hold `capacity` ids at most; one that is no power of two long is
@@ -226,7 +236,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
             arrays = [pa.array(columns[0], kind)] + [pa.array(c, t) for c, t in zip(columns[1:], types)]
             return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
-        tokens = encoder(tokenizer)
+        tokens = encoder(tokenizer, special_as_text=special_as_text)
         for batch in batches:
             kind = batch.column(0).type
             column = batch.column(1)
