@@ -77,7 +77,7 @@ def blocks(page: str | None) -> list[Block]:
                 stack.pop()          # its end tag was left out
             names = [tag]
             for _, value in _NAMES.findall(found[3]):
-                names += _TOKEN.findall(value.lower())[:8]
+                names += _TOKEN.findall(value.lower())
             stack.append((tag, tuple(names)))
     flush()
     return out
@@ -102,11 +102,12 @@ _WORD = re.compile(r"\w+|[©%]")
 _END = re.compile(r"[.!?]")
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """A row for each block: hashed tag path, hashed words, and numbers of size, links, signs and place."""
-    out = np.zeros((len(page), VECTOR), np.float32)
-    for i, block in enumerate(page):
-        row = out[i]
+def vectors(page: list[Block], low: int = 0, high: int | None = None) -> np.ndarray:
+    """A row for each block, or those of a stretch: hashed tag path, hashed words, and numbers of size, links, signs and place."""
+    high = len(page) if high is None else high
+    out = np.zeros((high - low, VECTOR), np.float32)
+    for i, block in enumerate(page[low:high], low):
+        row = out[i - low]
         names = [_PATH_SLOT[name] for name in block.path]
         if block.path:
             names.append(_PATH_SLOT["in " + block.path[-1]])

@@ -9,20 +9,21 @@ from functools import lru_cache
 
 import numpy as np
 
-from tickloom.llm.blocks import VECTOR, blocks, vectors
+from tickloom.llm.blocks import VECTOR, Block, blocks, vectors
 
 HIDDEN = 24
-PAGES = 2000             # made-up pages the labeller is trained on
-EPOCHS = 3
+PAGES = 3000             # made-up pages the labeller is trained on
+EPOCHS = 4
 BATCH = 32
 RATE = 0.004
+STRETCH = 4096           # blocks whose vectors are held at a time
 
 _MARK = ""         # begins the main blocks of a made-up page
 
 #: Elements that hold each part of a page, as tag and attribute, and words that are typical of it.
 HOLDERS = {
     "main": ["article", "main", 'div class="content"', 'div id="content"', 'div class="post-body"', 'section class="story"', 'div class="entry-content"',
-             'div class="article-body"', 'div id="main"', 'div class="text"', 'article class="post"'],
+             'div class="article-body"', 'div class="article"', 'div class="post"', 'div id="main"', 'div class="text"', 'article class="post"'],
     "menu": ["nav", 'div class="menu"', 'ul class="nav"', 'div id="navigation"', 'div class="breadcrumbs"', 'nav class="main-nav"', 'div class="navbar"', 'div role="navigation"'],
     "header": ["header", 'div class="header"', 'div id="masthead"', 'div class="top-bar"', 'header class="site-header"', 'div id="header"', 'div class="logo"'],
     "footer": ["footer", 'div class="footer"', 'div id="footer"', 'div class="copyright"', 'footer class="site-footer"', 'div class="legal"'],
@@ -43,6 +44,8 @@ TYPICAL = {
     "comments": "Reply comment says wrote ago Like Report comments posted thanks".split(),
 }
 
+LOOKS = "flex grid block row col col-6 items-center justify-between p-2 p-4 mt-2 mb-4 mx-auto bg-white bg-gray text-sm text-lg shadow rounded border w-full container clearfix left right wide".split()
+
 
 class _Maker:
     """Made-up pages."""
@@ -68,6 +71,9 @@ class _Maker:
         return " ".join(self.words(1, 16, kind) + self.some([".", ".", ".", "!", "?", ",."]) for _ in range(int(self.draw.integers(low, high + 1))))
 
     def inside(self, holder: str, content: str) -> str:
+        if self.chance(0.4):            # names of looks, which say nothing of the part
+            looks = " ".join(self.some(LOOKS) for _ in range(int(self.draw.integers(2, 9))))
+            holder = holder.replace('class="', f'class="{looks} ') if "class=" in holder else f'{holder} class="{looks}"'
         return f"<{holder}>{content}</{holder.split()[0]}>"
 
     def part(self, kind: str) -> str:
@@ -93,6 +99,9 @@ class _Maker:
         if out and self.chance(0.2):
             out = [f"<header>{out[0]}</header>"]
         for _ in range(int(self.draw.integers(1, 16))):
+            if self.chance(0.12):
+                out.append(self.several())
+                continue
             text = _MARK + self.some([self.sentences(1, 8), self.sentences(1, 8), self.sentences(1, 1), self.words(1, 3) + self.some(["", "."]),
                                       " ".join([self.words(1, 1)] * int(self.draw.integers(1, 40)))][:int(self.draw.choice([2, 4, 5], p=[0.5, 0.3, 0.2]))])
             out.append(self.some(["<p>{}</p>"] * 8 + ["<p><b>{}<br>", "<p>{}", "<div>{}</div>", "<blockquote>{}</blockquote>", "<h2>{}</h2>", "<ul><li>{}</li></ul>", "<pre>{}</pre>", "<figcaption>{}</figcaption>", "<p><a href='/x'>{}</a></p>"]).format(text))
@@ -102,7 +111,34 @@ class _Maker:
             out.append(self.part("comments"))
         return "".join(out)
 
+    def several(self) -> str:
+        """Lists, tables and definitions of an article, of short or long entries."""
+        def entry():
+            text = _MARK + self.some([self.words(1, 3), self.words(1, 1), self.words(2, 8), self.sentences(1, 2), str(int(self.draw.integers(0, 9999))), self.words(1, 2) + " " + str(int(self.draw.integers(0, 99)))])
+            return f"<a href='/x'>{text}</a>" if self.chance(0.08) else text
+
+        kind, rows = self.some(["ul", "ol", "table", "table", "dl", "pre"]), int(self.draw.integers(1, 8))
+        if kind in ("ul", "ol"):
+            return self.inside(kind, "".join(f"<li>{entry()}</li>" for _ in range(rows)))
+        if kind == "dl":
+            return "<dl>" + "".join(f"<dt>{entry()}</dt><dd>{entry()}</dd>" for _ in range(rows)) + "</dl>"
+        if kind == "pre":
+            return self.inside("pre", self.inside("code", _MARK + "\n".join(f"{self.words(1, 2).lower()} = {self.words(1, 1).lower()}({k});" for k in range(rows))))
+        across = int(self.draw.integers(2, 5))
+        head = "<tr>" + "".join(f"<th>{entry()}</th>" for _ in range(across)) + "</tr>" if self.chance(0.7) else ""
+        body = "".join("<tr>" + "".join(f"<td>{entry()}</td>" for _ in range(across)) + "</tr>" for _ in range(rows))
+        return (f"<table><thead>{head}</thead><tbody>{body}</tbody></table>" if self.chance(0.4) else f"<table>{head}{body}</table>") if not self.chance(0.1) else f"<figure><table>{head}{body}</table></figure>"
+
+    def bare(self) -> str:
+        """A page that is little more than its text."""
+        text = _MARK + self.some([self.words(1, 3) + ".", self.sentences(1, 1), self.sentences(1, 6), self.words(1, 4)])
+        content = self.some(["{}", "<p>{}</p>", "<p>{}</p>", "<article><p>{}</p></article>", "<div>{}</div>", "<main>{}</main>", "<h1>{}</h1>", "<pre>{}</pre>"]).format(text)
+        more = "".join(f"<p>{_MARK}{self.sentences(1, 4)}</p>" for _ in range(int(self.draw.integers(0, 4)))) if self.chance(0.5) else ""
+        return self.some(["{}", "<html><body>{}</body></html>", "<html><head><title>T</title></head><body>{}</body></html>"]).format(content + more)
+
     def page(self) -> str:
+        if self.chance(0.12):
+            return self.bare()
         top = [k for k, share in (("notice", 0.25), ("header", 0.4), ("menu", 0.85), ("advert", 0.4), ("form", 0.15)) if self.chance(share)]
         low = [k for k, share in (("advert", 0.2), ("sidebar", 0.35), ("comments", 0.35), ("form", 0.2), ("notice", 0.15), ("footer", 0.85)) if self.chance(share)]
         if self.chance(0.2):
@@ -120,23 +156,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x.clip(-30, 30)))
 
 
-def _forward(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray):
-    """One direction of the LSTM over padded sequences: outputs, and what the way back needs."""
+def _forward(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray, state=None, training: bool = True):
+    """One direction of the LSTM over padded sequences: outputs, and what the way back needs in training, else the last state, from
+    which a later stretch goes on."""
     n, steps, _ = x.shape
     size = u.shape[0]
     given = x @ w + b
-    h, c = np.zeros((n, size), np.float32), np.zeros((n, size), np.float32)
+    h, c = state or (np.zeros((n, size), np.float32), np.zeros((n, size), np.float32))
     out, kept = np.zeros((n, steps, size), np.float32), []
     for t in range(steps):
         gates = given[:, t] + h @ u
         i, f, o = (_sigmoid(gates[:, k * size:(k + 1) * size]) for k in range(3))
         g = np.tanh(gates[:, 3 * size:])
         now, m = f * c + i * g, mask[:, t, None]
-        kept.append((h, c, i, f, o, g, np.tanh(now)))
+        squeezed = np.tanh(now)
+        if training:
+            kept.append((h, c, i, f, o, g, squeezed))
         c = m * now + (1 - m) * c
-        h = m * o * kept[-1][6] + (1 - m) * h
+        h = m * o * squeezed + (1 - m) * h
         out[:, t] = h
-    return out, kept
+    return out, kept if training else (h, c)
 
 
 def _backward(x: np.ndarray, mask: np.ndarray, u: np.ndarray, kept: list, slope: np.ndarray):
@@ -174,10 +213,10 @@ def _turned(x: np.ndarray, turn: np.ndarray) -> np.ndarray:
     return np.take_along_axis(x, turn[:, :, None], axis=1)
 
 
-def _scores(weights: list[np.ndarray], x: np.ndarray, mask: np.ndarray, turn: np.ndarray):
-    there, kept_there = _forward(x, mask, *weights[0:3])
+def _scores(weights: list[np.ndarray], x: np.ndarray, mask: np.ndarray, turn: np.ndarray, training: bool = True):
+    there, kept_there = _forward(x, mask, *weights[0:3], training=training)
     back_x = _turned(x, turn)
-    back, kept_back = _forward(back_x, mask, *weights[3:6])
+    back, kept_back = _forward(back_x, mask, *weights[3:6], training=training)
     both = np.concatenate([there, _turned(back, turn)], axis=2)
     return (both @ weights[6] + weights[7])[:, :, 0], both, (kept_there, back_x, kept_back)
 
@@ -242,8 +281,41 @@ def is_main(weights: tuple[np.ndarray, ...], pages: list[np.ndarray]) -> list[np
         while to < len(order) and (to - at + 1) * len(pages[order[to]]) <= 4096:
             to += 1
         x, mask, turn = _padded([pages[k] for k in order[at:to]])
-        z = _scores(list(weights), x, mask, turn)[0]
+        z = _scores(list(weights), x, mask, turn, training=False)[0]
         for row, k in enumerate(order[at:to]):
             out[k] = z[row, :len(pages[k])] > 0
         at = to
     return out
+
+
+def is_main_long(weights: tuple[np.ndarray, ...], page: list[Block], stretch: int = STRETCH) -> np.ndarray:
+    """The same for one long page, whose vectors are made stretch by stretch, once for each direction. Only the outputs of the first
+    direction are held for all blocks."""
+    size = weights[1].shape[0]
+    there, z = np.zeros((len(page), size), np.float32), np.zeros(len(page), np.float32)
+    starts, state = range(0, len(page), stretch), None
+    for low in starts:
+        x = vectors(page, low, min(low + stretch, len(page)))[None]
+        out, state = _forward(x, np.ones(x.shape[:2], np.float32), *weights[0:3], state, training=False)
+        there[low:low + stretch] = out[0]
+    state = None
+    for low in reversed(starts):
+        x = vectors(page, low, min(low + stretch, len(page)))[None, ::-1]
+        out, state = _forward(x, np.ones(x.shape[:2], np.float32), *weights[3:6], state, training=False)
+        z[low:low + stretch] = (np.hstack([there[low:low + stretch], out[0, ::-1]]) @ weights[6] + weights[7])[:, 0]
+    return z > 0
+
+
+def main_blocks(weights: tuple[np.ndarray, ...], pages: list[list[Block]]) -> list[np.ndarray]:
+    """For every page, which of its blocks are main text, with bounded memory: pages are read in lots of STRETCH blocks, longer ones alone."""
+    out: list[np.ndarray] = []
+    lot: list[list[Block]] = []
+    for page in [*pages, None]:
+        if page is None or len(page) > STRETCH or sum(map(len, lot)) + len(page) > STRETCH:
+            out += is_main(weights, [vectors(p) for p in lot])
+            lot = []
+        if page is not None and len(page) > STRETCH:
+            out.append(is_main_long(weights, page))
+        elif page is not None:
+            lot.append(page)
+    return out

@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tickloom.llm.blocks import blocks, vectors
-from tickloom.llm.labeller import is_main, trained
+from tickloom.llm.blocks import blocks
+from tickloom.llm.labeller import main_blocks, trained
 from tickloom.llm.words import columns_for, frugal, groups, ship
 
 
@@ -20,7 +20,7 @@ def main_text(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     the labeller takes for the article are joined by line ends in page order. Null, empty and broken pages give what text they
     have, empty if none; repeated rows are read one by one. Columns named `text` or `n_chars` are replaced;
     `keep` names the columns that are carried along, by default all but the page itself. A task holds one group of
-    pages of a few megabytes or one longer page."""
+    pages of a few megabytes or one longer page, and the vectors of a few thousand blocks."""
     spark = pages.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(trained())
@@ -33,7 +33,7 @@ def main_text(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
             for at, to in groups(batch.column(place)):
                 part = batch.slice(at, to - at)
                 cut = [blocks(page) for page in part.column(place).to_pylist()]
-                main = is_main(shared.value, [vectors(page) for page in cut])
+                main = main_blocks(shared.value, cut)
                 texts = ["\n".join(b.text for b, m in zip(page, flags) if m) for page, flags in zip(cut, main)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.fieldNames())
 
