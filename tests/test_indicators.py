@@ -1,6 +1,8 @@
 import numpy as np
 import pandas as pd
+import pytest
 from conftest import values
+from pyspark.sql import functions as F
 from test_series import BARS, gappy
 
 from tickloom.operators import features as X
@@ -136,3 +138,38 @@ def test_rmse(rows):
 def test_half_points_round_to_even(rows):
     df = rows("mid double, diff double", (1.0, 2.5), (1.0, 3.5))
     assert values(X.denormalize(df), "prediction") == [(1.00002,), (1.00004,)]
+
+
+def test_recurrent_scores_equal_a_plain_loop(rows):
+    import math
+    import random
+
+    from tickloom.operators import recurrent as R
+    draw, hidden = random.Random(1), 3
+    weights = {s: [draw.uniform(-0.5, 0.5) for _ in range(R.weight_count(hidden))] for s in ("A", "B")}
+    blocks = [(s, "m1", 60 * k, [[draw.uniform(-2, 2) for _ in range(10)] for _ in range(10)]) for s in ("A", "B", None) for k in range(25)] + [("A", "m1", 9999, None)]
+
+    def plain(block, w):
+        wide = 4 * hidden
+        given, own, bias, answer = w[:10 * wide], w[10 * wide:(10 + hidden) * wide], w[(10 + hidden) * wide:(11 + hidden) * wide], w[(11 + hidden) * wide:]
+        h, c = [0.0] * hidden, [0.0] * hidden
+        for row in block:
+            z = [sum(v * given[k * wide + j] for k, v in enumerate(row)) + sum(v * own[k * wide + j] for k, v in enumerate(h)) + bias[j] for j in range(wide)]
+            gate = [1 / (1 + math.exp(-v)) for v in z]
+            c = [gate[hidden + j] * c[j] + gate[j] * math.tanh(z[3 * hidden + j]) for j in range(hidden)]
+            h = [gate[2 * hidden + j] * math.tanh(c[j]) for j in range(hidden)]
+        return sum(a * b for a, b in zip(answer, h)) + answer[-1]
+
+    df = rows("symbol string, frame string, ts long, block array<array<double>>", *blocks).repartition(3)
+    models = rows("symbol string, frame string, weights array<double>", *[(s, "m1", w) for s, w in weights.items()])
+    for slot in (None, F.floor(F.col("ts") / 300)):
+        got = {(r["symbol"], r["ts"]): r["out"] for r in R.score_by_series(df, models, hidden, slot=slot).collect()}
+        assert len(got) == len(blocks)
+        for s, _, ts, block in blocks:
+            if s is None or block is None:
+                assert got[s, ts] is None
+            else:
+                assert abs(got[s, ts] - plain(block, weights[s])) < 1e-9
+    with pytest.raises(ValueError):
+        R.recurrent(np.ones((1, 10, 10)), [1.0], hidden)
+

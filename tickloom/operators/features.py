@@ -215,10 +215,13 @@ def forecast(candles, model, scaler=None, every=False, history=61, frames=None,
 
 
 def forecast_blocks(blocks, model, scaler=None, frames=None):
+    """Forecasts of blocks. `model` is one for `score`, or any function of the blocks that adds the column `out`, marked by
+    ``of_blocks = True``."""
+    answer = model if getattr(model, "of_blocks", False) else lambda b: score(b, model)
     if scaler is None:
-        scored = score(blocks, model).withColumn("diff", F.col("out"))
+        scored = answer(blocks).withColumn("diff", F.col("out"))
     else:
-        scored = score(scale(blocks, scaler), model).withColumn("diff", unscale("out"))
+        scored = answer(scale(blocks, scaler)).withColumn("diff", unscale("out"))
     return prediction_rows(denormalize(scored), frames)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import features as X
 from tickloom.operators import indicators as I
+from tickloom.operators import recurrent as R
 from tickloom.plans import tables as T
 from tickloom.plans.registry import query
 from tickloom.plans.series import SQL_IND, bars
@@ -201,3 +202,57 @@ def forecast_fitted(spark, sf):
     labelled = blocks.join(nxt, ["symbol", "frame", "ts"]).withColumn(
         "label", (F.col("closeBid") - F.col("mid")) * X.POINTS)
     return X.forecast_blocks(blocks, X.fit_linear(labelled, "label"))
+
+
+HIDDEN = 2
+WEIGHT_COUNT = R.weight_count(HIDDEN)
+#: Model weights that differ by series; in SQL they are the list `w`.
+SQL_WEIGHTS = f"list_transform(range(1, {WEIGHT_COUNT + 1}), lambda k: 0.4 * sin(0.7 * k + length(symbol) + 2 * length(frame)))"
+
+
+def series_weights(series):
+    """A model for every series."""
+    start = F.length("symbol") + 2 * F.length("frame")
+    return series.select("symbol", "frame", F.transform(F.sequence(F.lit(1), F.lit(WEIGHT_COUNT)), lambda k: 0.4 * F.sin(0.7 * k + start)).alias("weights"))
+
+
+def _sql_gate(j):
+    """Weighted sum of gate unit `j` of the four times HIDDEN."""
+    wide = 4 * HIDDEN
+    given = " + ".join(f"v[{k + 1}] * w[{k * wide + j + 1}]" for k in range(len(FEATURES)))
+    own = " + ".join(f"h[{k + 1}] * w[{(len(FEATURES) + k) * wide + j + 1}]" for k in range(HIDDEN))
+    return f"{given} + {own} + w[{(len(FEATURES) + HIDDEN) * wide + j + 1}]"
+
+
+def _sigmoid(z):
+    return f"(1 / (1 + exp(-({z}))))"
+
+
+_CELLS = ", ".join(f"{_sigmoid(_sql_gate(HIDDEN + k))} * c[{k + 1}] + {_sigmoid(_sql_gate(k))} * tanh({_sql_gate(3 * HIDDEN + k)})" for k in range(HIDDEN))
+_OUTS = ", ".join(f"{_sigmoid(_sql_gate(2 * HIDDEN + k))}" for k in range(HIDDEN))
+_SHOWN = ", ".join(f"o[{k + 1}] * tanh(n[{k + 1}])" for k in range(HIDDEN))
+_BASE = WEIGHT_COUNT - HIDDEN - 1
+
+
+@query("forecast_recurrent", _sql_stats("avg(v)", "stddev_pop(v)").replace("WITH ", "WITH RECURSIVE ", 1).replace(T.SQL_H1, T.SQL_ALL) + f""",
+rows_ AS (
+  SELECT c.symbol, c.frame, newest, step, list((v - centre) / spread ORDER BY c.col) AS v
+  FROM cells c JOIN stats s ON c.symbol = s.symbol AND c.frame = s.frame AND c.col = s.col GROUP BY ALL),
+run AS (
+  SELECT symbol, frame, newest, -11 AS step, [{", ".join(["0.0::DOUBLE"] * HIDDEN)}] AS h, [{", ".join(["0.0::DOUBLE"] * HIDDEN)}] AS c, {SQL_WEIGHTS} AS w FROM points WHERE step = -1
+  UNION ALL
+  SELECT symbol, frame, newest, step, [{_SHOWN}] AS h, n AS c, w FROM (
+    SELECT r.symbol, r.frame, r.newest, x.step, r.w, [{_CELLS}] AS n, [{_OUTS}] AS o
+    FROM run r JOIN rows_ x ON r.symbol = x.symbol AND r.frame = x.frame AND r.newest = x.newest AND x.step = r.step + 1)),
+outs AS (
+  SELECT r.symbol, r.frame, r.newest, p.mid, ({" + ".join(f"h[{k + 1}] * w[{_BASE + k + 1}]" for k in range(HIDDEN))} + w[{WEIGHT_COUNT}]) * s.spread + s.centre AS diff
+  FROM run r JOIN points p ON r.symbol = p.symbol AND r.frame = p.frame AND r.newest = p.newest AND p.step = -1
+       JOIN stats s ON r.symbol = s.symbol AND r.frame = s.frame AND s.col = 3
+  WHERE r.step = -1)
+SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + seconds AS BIGINT) AS ts FROM outs JOIN frames USING (frame)""")
+def forecast_recurrent(spark, sf):
+    """Every candle's forecast by the recurrent model and the scaler of its own series, all frames."""
+    candles = T.all_candles(spark, sf).select("symbol", "frame", "openBid", "highBid", "lowBid", "closeBid", "ts")
+    blocks = X.rolling_blocks(candles)
+    scaler = X.fit_scaler(blocks)
+    return X.forecast_blocks(blocks, R.series_models(series_weights(scaler), HIDDEN), scaler)
