@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import candle_end, to_seconds
-from tickloom.operators.series import join_keys
+from tickloom.operators.series import join_keys, on_statistic
 from tickloom.schemas import FRAMES, OHLC
 
 
@@ -124,4 +124,4 @@ def ticks_on_past(ticks, carried, order):
 def drop_first_candle(df, keys=("symbol", "frame")):
     """Leave out the first candle of every series, which may have begun before the data."""
     starts = df.groupBy(*keys).agg(F.min("ts").alias("_start"))
-    return join_keys(df, starts, list(keys)).filter("ts > _start").select(*df.columns)
+    return on_statistic(df, starts, keys).filter("ts > _start").select(*df.columns)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions.scalar import fixed_round, fixed_text, frame_seconds
 from tickloom.operators.indicators import add_indicators
-from tickloom.operators.series import join_keys, last_rows, over_series
+from tickloom.operators.series import last_rows, on_statistic, over_series
 from tickloom.schemas import FEATURES, SERIES
 
 POINTS = 100_000     # price units per point
@@ -116,7 +116,7 @@ def fit_scaler(blocks, kind="standard", keys=SERIES):
 
 def scale(blocks, scaler, keys=SERIES):
     """Scaled blocks; centre and spread stay on the row for the way back."""
-    return (join_keys(blocks, scaler, list(keys))
+    return (on_statistic(blocks, scaler, keys)
             .withColumn("block", F.transform("block", lambda row: F.transform(
                 row, lambda x, i: (x - F.get("centre", i)) / F.get("spread", i)))))
 
@@ -180,6 +180,16 @@ def linear_model(weights, bias=0.0):
     return predict
 
 
+def fit_line(blocks, label, column="body", block="block"):
+    """A model out of one cell, a column of the newest block row: its least-squares line, by one aggregate."""
+    at = FEATURES.index(column)
+    x = F.element_at(block, -1)[at]
+    slope, start = blocks.agg(F.regr_slope(label, x), F.regr_intercept(label, x)).first()
+    weights = [0.0] * 100
+    weights[90 + at] = slope or 0.0
+    return linear_model(weights, start or 0.0)
+
+
 def fit_linear(blocks, label, block="block"):
     """Fit the default model by least squares on Spark ML; returns a model for `score`."""
     from pyspark.ml.functions import array_to_vector

@@ -6,7 +6,7 @@ from operator import or_
 
 from pyspark.sql import functions as F
 
-from tickloom.operators.series import join_keys
+from tickloom.operators.series import on_statistic
 from tickloom.schemas import FRAMES, SERIES
 
 
@@ -47,8 +47,8 @@ def valid_predictions(df):
                      & (F.col("prediction") != 0) & ~F.isnan("prediction") & (F.col("ts") != 0))
 
 
-def min_history(df, n=61, keys=SERIES):
+def min_history(df, n=61, keys=SERIES, salt_by="ts"):
     """Series with at least n rows, whole. Series are counted first, before any shuffle
-    of the rows, and the short table of counts is joined."""
+    of the rows, and the short table of counts is joined (`on_statistic`)."""
     long_enough = df.groupBy(*keys).count().filter(F.col("count") >= n).drop("count")
-    return join_keys(df, long_enough, list(keys), "left_semi")
+    return on_statistic(df, long_enough, keys, "left_semi", salt_by)

@@ -7,6 +7,7 @@ helpers here cut a series into time slots and stay exact:
 * ``with_carry`` brings the running aggregate of all earlier slots (unbounded frames).
 """
 
+import re
 from decimal import Decimal
 from functools import reduce
 from operator import and_
@@ -17,8 +18,10 @@ from pyspark.sql import types as T
 
 from tickloom.functions.scalar import frame_seconds
 from tickloom.schemas import SERIES
+from tickloom.session import fresh_dir
 
 SLOT_ROWS = 50_000
+SALTS = 32
 RANKED_EARLY = 1000      # rows up to which Spark's rank limit works before the shuffle
 
 
@@ -84,9 +87,10 @@ def with_carry(df, keys, slot, order, aggs):
     return join_keys(spread, carried, [*keys, "_slot"]), within
 
 
-def latest(df, keys, order):
-    """Newest record per key, combined before the shuffle."""
-    return _pick(df, list(keys), _names(order), F.max_by)
+def latest(df, keys, order, bits=None):
+    """Newest record per key, combined before the shuffle. `bits` states the width of whole-number columns of the order that never use all
+    of theirs, such as times, so that two 64-bit columns pack into one number; a value beyond it is an error."""
+    return _pick(df, list(keys), _names(order), F.max_by, bits)
 
 
 def keep_first(df, keys, order):
@@ -100,13 +104,13 @@ def keep_first(df, keys, order):
 FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _pick(df, keys, order, by):
+def _pick(df, keys, order, by, bits=None):
     """One row per key by `order`, nulls lowest. Values of fixed width with an order that packs into one
     number keep Spark's hash aggregate; a struct would make it sort all rows. All columns come
     from the same row also in a tie, since they are compared in the same sequence."""
     types = {f.name: f.dataType for f in df.schema.fields}
     rest = [c for c in df.columns if c not in keys]
-    rank = _numeric_rank(order[0], types[order[0]]) if len(order) == 1 else packed_rank([(c, types[c]) for c in order])
+    rank = _numeric_rank(order[0], types[order[0]]) if len(order) == 1 else packed_rank([(c, types[c]) for c in order], bits)
     if rank is not None and all(isinstance(types[c], FIXED_WIDTH) for c in rest):
         picked = df.withColumn("_rank", rank).groupBy(*keys).agg(
             *[by(c, "_rank").alias(c) for c in rest])
@@ -128,19 +132,49 @@ def _numeric_rank(col, kind):
 WHOLE_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 
-def packed_rank(columns):
+def packed_rank(columns, bits=None):
     """Whole-number columns, each with its type, as one decimal that compares like them in turn, nulls
-    lowest. None when a column is of another type or they do not fit: two of 64 bits don't."""
-    bits = [WHOLE_BITS.get(type(kind)) for _, kind in columns]
-    if None in bits or sum(b + 1 for b in bits) > 126:
+    lowest. None when a column is of another type or they do not fit: two of 64 bits don't, unless `bits` states a lesser
+    width of one, which its values are held to."""
+    widths = [WHOLE_BITS.get(type(kind)) for _, kind in columns]
+    if None in widths:
+        return None
+    widths = [min(width, (bits or {}).get(name, width)) for (name, _), width in zip(columns, widths)]
+    if sum(w + 1 for w in widths) > 126:
         return None
     rank = F.lit(Decimal(0)).cast("decimal(38,0)")
-    for (name, _), width in zip(columns, bits):
-        number = F.coalesce(F.col(name).cast("decimal(38,0)") + F.lit(Decimal(2 ** (width - 1) + 1)), F.lit(Decimal(0)))
+    for (name, kind), width in zip(columns, widths):
+        col = F.col(name)
+        if width < WHOLE_BITS[type(kind)]:
+            wide = F.raise_error(F.concat(F.lit(f"{name} does not fit in {width} bits: "), col.cast("string"))).cast(kind)
+            col = F.when((col >= -2 ** (width - 1)) & (col < 2 ** (width - 1)), col).when(col.isNotNull(), wide)
+        number = F.coalesce(col.cast("decimal(38,0)") + F.lit(Decimal(2 ** (width - 1) + 1)), F.lit(Decimal(0)))
         rank = (rank * F.lit(Decimal(2 ** width + 1)) + number).cast("decimal(38,0)")
     return rank
 
 
+def on_statistic(df, stats, keys, how="inner", salt_by="ts", salts=SALTS):
+    """`df` joined with a statistic of its series. The statistic is written first and its size measured: within the broadcast limit of the
+    session it goes to the rows. Beyond it rows meet it by series and a salt out of a column, each series' statistic being sent to
+    every salt, so that a hot series is many tasks."""
+    spark, keys = df.sparkSession, list(keys)
+    path = fresh_dir(spark, "statistic")
+    stats.write.parquet(path)
+    kept = spark.read.schema(stats.schema).parquet(path)
+    size = kept.agg(F.sum(F.length(F.to_json(F.struct("*"))) + 16)).first()[0] or 0
+    if size <= broadcast_limit(spark):
+        return join_keys(df, F.broadcast(kept), keys, how)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
+    spread = kept.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return join_keys(salted, spread, [*keys, "_salt"], how).drop("_salt")
+
+
+def broadcast_limit(spark):
+    """Bytes up to which the session broadcasts a side; none below zero."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit] if int(number) > 0 else -1
+
+
 def dedup(df, keys=("ts", "frame", "symbol"), order=None):
     """One record per key: any of them, or the first by `order`."""
     return keep_first(df, keys, order) if order else df.dropDuplicates(list(keys))

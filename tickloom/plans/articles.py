@@ -224,6 +224,14 @@ def news_page(spark, sf):
     return P.news_page(feed(spark, sf).select("title", "url", "time", "source"), offset=5)
 
 
+@query("news_page_deep", f"""WITH {SQL_FEED} SELECT title, url, time, source FROM feed
+ORDER BY time DESC, url LIMIT 20 OFFSET (SELECT count(*) // 2 FROM feed)""")
+def news_page_deep(spark, sf):
+    """The page in the middle of all news."""
+    found = feed(spark, sf).select("title", "url", "time", "source")
+    return P.deep_news_page(found, pages(spark, sf).count() // 2, rows=40)
+
+
 @query("news_feed", f"""WITH {SQL_FEED} SELECT title, substring(summary, 1, 200) AS content, url AS link, source,
   time * 1000 AS created_at FROM feed ORDER BY time DESC, url LIMIT 20""")
 def news_feed(spark, sf):

@@ -9,6 +9,7 @@ from tickloom.plans import tables as T
 from tickloom.plans.registry import query
 from tickloom.plans.series import SQL_IND, bars
 from tickloom.schemas import FEATURES
+from tickloom.session import fresh_dir
 
 # Demonstration model: it looks at the close and the open of the newest block row.
 WEIGHTS = [0.0] * 90 + [0.3, 0.0, 0.0, 0.7] + [0.0] * 6
@@ -192,15 +193,32 @@ def forecast_scaled(spark, sf):
     return X.forecast(candles, MODEL, scaler=X.fit_scaler(X.rolling_blocks(candles)), every=True)
 
 
+@query("forecast_line", f"""WITH {SQL_BLOCKS},
+lasts AS (SELECT p.*, lead(i."closeBid") OVER (PARTITION BY p.symbol, p.frame ORDER BY newest) AS nxt
+          FROM points p JOIN indicators i ON p.symbol = i.symbol AND p.frame = i.frame AND i.ts = p.newest WHERE step = -1),
+line AS (SELECT regr_slope((nxt - mid) * 100000, body) AS slope, regr_intercept((nxt - mid) * 100000, body) AS start FROM lasts),
+outs AS (SELECT symbol, frame, newest, mid, slope * body + start AS diff FROM lasts, line)
+SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + 3600 AS BIGINT) AS ts FROM outs""")
+def forecast_line(spark, sf):
+    """Forecasts by a line through the next close over the candle body before it, fitted to all blocks."""
+    blocks, labelled = labelled_blocks(spark, sf)
+    return X.forecast_blocks(blocks, X.fit_line(labelled, "label"))
+
+
+def labelled_blocks(spark, sf):
+    """All blocks, written once, and those with the close after their newest candle, in points over the mid."""
+    candles, path = bars(spark, sf), fresh_dir(spark, "blocks")
+    X.rolling_blocks(candles).write.parquet(path)
+    blocks = spark.read.parquet(path)
+    nxt = I.over_series(candles.select("symbol", "frame", "ts", "closeBid"), 1, lambda d, w: d.withColumn(
+        "_at", F.lag("ts").over(w))).select("symbol", "frame", F.col("_at").alias("ts"), "closeBid")
+    return blocks, blocks.join(nxt, ["symbol", "frame", "ts"]).withColumn("label", (F.col("closeBid") - F.col("mid")) * X.POINTS)
+
+
 @query("forecast_fitted")
 def forecast_fitted(spark, sf):
     """Forecasts of a model fitted to the next close of every block."""
-    candles = bars(spark, sf)
-    blocks = X.rolling_blocks(candles)
-    nxt = I.over_series(candles.select("symbol", "frame", "ts", "closeBid"), 1, lambda d, w: d.withColumn(
-        "_at", F.lag("ts").over(w))).select("symbol", "frame", F.col("_at").alias("ts"), "closeBid")
-    labelled = blocks.join(nxt, ["symbol", "frame", "ts"]).withColumn(
-        "label", (F.col("closeBid") - F.col("mid")) * X.POINTS)
+    blocks, labelled = labelled_blocks(spark, sf)
     return X.forecast_blocks(blocks, X.fit_linear(labelled, "label"))
 
 

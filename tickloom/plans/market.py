@@ -15,9 +15,10 @@ from tickloom.operators.series import continuous_open, keep_first
 from tickloom.plans import tables as T
 from tickloom.plans.registry import query
 from tickloom.plans.series import doubled
-from tickloom.schemas import CANDLE, OHLC, PREDICTION, TICK
+from tickloom.schemas import CANDLE, NEWS, OHLC, PREDICTION, TICK
 from tickloom.sources import envelope as E
 from tickloom.sources import market as M
+from tickloom.sources.store import union_all
 
 AS_OF = 1705276800      # 2024-01-15 00:00:00 UTC, in the middle of the event table
 
@@ -78,24 +79,37 @@ def decode_json(spark, sf):
                        data["updated"].alias("updated"))
 
 
-@query("route", f"""WITH {T.SQL_H1}, {T.SQL_PREDICTIONS}
+#: One message of each subject: candles of all frames, the forming candle after every tick, their forecasts, prices and news.
+SQL_MESSAGES = f"""WITH {T.SQL_ALL}, {T.SQL_PREDICTIONS}
 SELECT 'price' AS subject, symbol, updated AS at, printf('%.5f', ask) AS value FROM ticks
 UNION ALL SELECT 'candle', symbol, ts, printf('%.5f', "closeAsk") FROM candles
-UNION ALL SELECT 'predictioncandle', symbol, ts, printf('%.5f', prediction) FROM predictions""")
+UNION ALL SELECT 'livecandle', symbol, CAST(cts AS BIGINT), printf('%.5f', ask) FROM placed
+UNION ALL SELECT 'predictioncandle', symbol, ts, printf('%.5f', prediction) FROM predictions
+UNION ALL SELECT 'news', 'EURUSD', CAST(page_id * 60 AS BIGINT), url FROM pages"""
+SCHEMAS = {"price": TICK, "candle": CANDLE, "livecandle": CANDLE, "predictioncandle": PREDICTION, "news": NEWS}
+SHOWN = {"price": ("updated", "ask"), "candle": ("ts", "closeAsk"), "livecandle": ("ts", "closeAsk"), "predictioncandle": ("ts", "prediction"), "news": ("time", "url")}
+
+
+def messages(spark, sf):
+    """Messages of all subjects in one table."""
+    bars, ticks = T.all_candles(spark, sf), T.ticks(spark, sf)
+    page = F.col("page_id").cast("string")
+    news = T.load(spark, sf, "pages").select(F.concat(F.lit("Title "), page).alias("title"), "url", (F.col("page_id") * 60).alias("time"), F.lit("").alias("summary"),
+                                             F.substring("html", 1, 50).alias("content"), F.lit("EURUSD").alias("symbol"), F.lit("Wire").alias("source"))
+    rows = {"price": ticks, "candle": bars, "livecandle": C.live_candles(ticks).select(*CANDLE.names), "predictioncandle": T.as_predictions(bars), "news": news}
+    return union_all([E.encode_envelope(df, topic=f"market.{name}.0") for name, df in rows.items()])
+
+
+def shown(subject, rows):
+    """Subject, symbol, time and one value of decoded messages."""
+    at, value = SHOWN[subject]
+    text = S.fixed_text(value) if subject == "predictioncandle" else F.col(value)
+    return rows.select(F.lit(subject).alias("subject"), "symbol", F.col(at).alias("at"), text.alias("value"))
+
+
+@query("route", SQL_MESSAGES)
 def route(spark, sf):
-    bars = T.hour_candles(spark, sf)
-    mixed = (E.encode_envelope(T.ticks(spark, sf), topic="market.price.0")
-             .unionByName(E.encode_envelope(bars, topic="market.candle.0"))
-             .unionByName(E.encode_envelope(T.as_predictions(bars), topic="market.predictioncandle.0")))
-    parts = E.route(mixed, {"price": TICK, "candle": CANDLE, "predictioncandle": PREDICTION})
-    price = parts["price"].select(F.lit("price").alias("subject"), "symbol", F.col("updated").alias("at"),
-                                  F.col("ask").alias("value"))
-    candle = parts["candle"].select(F.lit("candle").alias("subject"), "symbol", F.col("ts").alias("at"),
-                                    F.col("closeAsk").alias("value"))
-    forecast = parts["predictioncandle"].select(
-        F.lit("predictioncandle").alias("subject"), "symbol", F.col("ts").alias("at"),
-        S.fixed_text("prediction").alias("value"))
-    return price.unionByName(candle).unionByName(forecast)
+    return union_all([shown(name, rows) for name, rows in E.route(messages(spark, sf), SCHEMAS).items()])
 
 
 @query("encode_envelope", f"""WITH {T.SQL_ALL}
@@ -319,7 +333,7 @@ def candle_history(spark, sf):
 SELECT ts, regexp_replace(printf('%.5f', prediction), '\\.?0+$', '') AS "closeBid" FROM predictions
 WHERE symbol = 'click' AND frame = 'H1' AND ts BETWEEN {DAY} AND {AS_OF} ORDER BY ts""")
 def forecast_history(spark, sf):
-    stored = X.stored_forecasts(T.as_predictions(T.all_candles(spark, sf)))
+    stored = X.stored_forecasts(T.as_predictions(T.candles_between(spark, sf, DAY - 3600, AS_OF)))
     return Q.forecast_history(stored.withColumn("symbol", S.sanitize_symbol("symbol")), "click", "H1", DAY, AS_OF)
 
 
@@ -337,7 +351,7 @@ def price_history(spark, sf):
 SELECT * FROM bars ORDER BY time""")
 def chart_history(spark, sf):
     """What a chart loads: its lookback, one candle per time, opens at the close before."""
-    bars = L.time_range(L.lookback(T.all_candles(spark, sf), "m30", AS_OF), "ts", 0, AS_OF)
+    bars = L.time_range(L.lookback(T.candles_between(spark, sf, AS_OF - 4800 * 1800, AS_OF), "m30", AS_OF), "ts", 0, AS_OF)
     one = keep_first(doubled(bars.filter("symbol = 'view'")), ["symbol", "frame", "ts"], "arrival")
     return P.chart_rows(continuous_open(one)).orderBy("time")
 

@@ -106,7 +106,7 @@ def monotonic(spark, sf):
 @query("latest", f"""WITH {T.SQL_TICKS} SELECT symbol, bid, ask, high, low, updated, event_id FROM ticks
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY updated DESC, event_id DESC) = 1""")
 def latest(spark, sf):
-    return R.latest(T.ticks(spark, sf), ["symbol"], ["updated", "event_id"])
+    return R.latest(T.ticks(spark, sf), ["symbol"], ["updated", "event_id"], T.TIME_BITS)
 
 
 @query("last_candle", f"""WITH {T.SQL_ALL} SELECT symbol, frame, {T.SQL_OHLC}, ts FROM candles

@@ -3,17 +3,17 @@ what was written."""
 
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalar import fixed_text
 from tickloom.operators import panes as P
 from tickloom.operators import series as R
 from tickloom.plans import tables as T
 from tickloom.plans.forecasts import MODEL, SQL_ALL_FORECASTS
-from tickloom.plans.market import LIVE_SQL
+from tickloom.plans.market import LIVE_SQL, SCHEMAS, SQL_MESSAGES, messages, shown
 from tickloom.plans.registry import query
 from tickloom.plans.series import SQL_MINUTE_WINDOWS, SQL_UNEVEN, uneven
-from tickloom.schemas import CANDLE, OHLC, PREDICTION
+from tickloom.schemas import CANDLE, OHLC
 from tickloom.session import fresh_dir
 from tickloom.sources import envelope as E
+from tickloom.sources import store as W
 from tickloom.streaming import streams as S
 
 # A window is closed once the last tick is three seconds past its end.
@@ -145,7 +145,7 @@ def monotonic_stream(spark, sf):
 @query("latest_stream", f"""WITH {T.SQL_TICKS} SELECT symbol, bid, ask, high, low, updated, event_id FROM ticks
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY updated DESC, event_id DESC) = 1""")
 def latest_stream(spark, sf):
-    path = collect(spark, S.latest_stream(T.tick_stream(spark, sf), order=["updated", "event_id"]), "update")
+    path = collect(spark, S.latest_stream(T.tick_stream(spark, sf), order=["updated", "event_id"], bits=T.TIME_BITS), "update")
     return S.final_state(spark, path, ["symbol"])
 
 
@@ -161,29 +161,14 @@ def restarted_stream(spark, sf):
     return read(spark, f"{root}/out", CANDLE.names)
 
 
-@query("route_stream", f"""WITH {T.SQL_H1}, {T.SQL_PREDICTIONS}
-SELECT 'candle' AS subject, symbol, ts, printf('%.5f', "closeBid") AS value FROM candles
-UNION ALL SELECT 'predictioncandle', symbol, ts, printf('%.5f', prediction) FROM predictions""")
+@query("route_stream", SQL_MESSAGES)
 def route_stream(spark, sf):
-    bars = T.hour_candles(spark, sf)
-    mixed = (E.encode_envelope(bars, topic="market.candle.0")
-             .unionByName(E.encode_envelope(T.as_predictions(bars), topic="market.predictioncandle.0")))
+    """All five subjects out of one stream, a handler each."""
     source, root = fresh_dir(spark, "messages"), fresh_dir(spark, "stream")
-    mixed.write.parquet(source)
-
-    def keep(name, column):
-        def handle(rows, batch_id):
-            S.write_batch(rows.select(F.lit(name).alias("subject"), "symbol", "ts", column.alias("value")),
-                          f"{root}/{name}", batch_id)
-        return handle
-
-    finish(E.route_stream(
-        spark.readStream.schema("value string, topic string").parquet(source),
-        {"candle": CANDLE, "predictioncandle": PREDICTION},
-        {"candle": keep("candle", F.col("closeBid")),
-         "predictioncandle": keep("predictioncandle", fixed_text("prediction"))}, f"{root}/checkpoint"))
-    columns = ["subject", "symbol", "ts", "value"]
-    return read(spark, f"{root}/candle", columns).unionByName(read(spark, f"{root}/predictioncandle", columns))
+    messages(spark, sf).write.parquet(source)
+    handlers = {name: lambda rows, batch_id, name=name: S.write_batch(shown(name, rows), f"{root}/{name}", batch_id) for name in SCHEMAS}
+    finish(E.route_stream(spark.readStream.schema("value string, topic string").parquet(source), SCHEMAS, handlers, f"{root}/checkpoint"))
+    return W.union_all([read(spark, f"{root}/{name}", ["subject", "symbol", "at", "value"]) for name in SCHEMAS])
 
 
 @query("forecast_stream", SQL_ALL_FORECASTS)

@@ -12,6 +12,7 @@ from tickloom.schemas import FRAMES, OHLC
 H1 = {"H1": FRAMES["H1"]}
 SPREAD = 1.0002     # ask / bid
 OFFSET = 0.25       # forecast over close
+TIME_BITS = {"updated": 60}     # milliseconds of eighteen million years
 
 
 def load(spark, sf_dir, name):

@@ -74,3 +74,6 @@ RATES = T.StructType([
     T.StructField("Rates", T.ArrayType(T.DoubleType())),
     T.StructField("Updated", T.LongType()),
 ])
+
+NEWS = T.StructType([T.StructField(c, T.LongType() if c == "time" else T.StringType())
+                     for c in ("title", "url", "time", "summary", "content", "symbol", "source")])

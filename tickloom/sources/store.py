@@ -30,11 +30,44 @@ def set_fields(table, batch, keys, order=()):
         F.max_by(c, F.when(F.col(c).isNotNull(), when)).alias(c) for c in fields])
 
 
+FILTER_BITS, LISTED = 1 << 20, 1000
+
+
+def maybe_in(table, batch, keys, bits=FILTER_BITS):
+    """The rows of `table` whose key may occur in `batch`: all that do, and few others. Bounds of the batch's numbers and times, and its texts
+    where they are few, are constants, which prune partitions and row groups; of the rest a bit filter keeps the keys whose hash the
+    batch has too. It works before any shuffle of the table, and holds `bits` bits."""
+    rows = batch.select(*keys).persist()
+    try:
+        kept = table
+        for key in keys:
+            if isinstance(rows.schema[key].dataType, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
+                low, high = rows.agg(F.min(key), F.max(key)).first()
+                kept = kept.filter(F.lit(False) if low is None else F.col(key).between(low, high))
+            else:
+                found = [r[0] for r in rows.select(key).distinct().limit(LISTED + 1).collect()]
+                if len(found) <= LISTED:
+                    kept = kept.filter(F.col(key).isin([v for v in found if v is not None]))
+        hashed = F.pmod(F.xxhash64(*keys), F.lit(bits))
+        words = {r["word"]: r["held"] for r in rows.select(hashed.alias("h")).groupBy(F.floor(F.col("h") / 64).alias("word"))
+                 .agg(F.expr("bit_or(shiftleft(1L, cast(h % 64 as int)))").alias("held")).collect()}
+    finally:
+        rows.unpersist()
+    held = F.lit(",".join(str(words.get(k, 0)) for k in range(bits // 64)))
+    number = F.element_at(F.split(held, ",").cast("array<bigint>"), (F.floor(hashed / 64) + 1).cast("int"))
+    return kept.filter(F.getbit(number, F.pmod(hashed, F.lit(64)).cast("int")) == 1)
+
+
 def insert_ignore(table, batch, keys, order=()):
-    """First write wins: only batch rows with a new key are added, the first of each."""
+    """First write wins: only batch rows with a new key are added, the first of each. Of the table only rows that may have such a
+    key are read for the comparison."""
+    return table.unionByName(new_rows(table, batch, keys, order), allowMissingColumns=True)
+
+
+def new_rows(table, batch, keys, order=()):
+    """What `insert_ignore` adds."""
     new = keep_first(batch, keys, order) if order else batch.dropDuplicates(list(keys))
-    return table.unionByName(new.join(table.select(*keys), list(keys), "left_anti"),
-                             allowMissingColumns=True)
+    return new.join(maybe_in(table, batch, keys).select(*keys), list(keys), "left_anti")
 
 
 def write_partitioned(df, path, by=SERIES, slot=None, mode="overwrite"):
@@ -108,9 +141,7 @@ class KeyedTable:
 
     def insert_ignore(self, batch, batch_id, order=()):
         """Write only rows whose key no earlier batch holds."""
-        new = keep_first(batch, self.keys, order) if order else batch.dropDuplicates(self.keys)
-        old = self.versions().filter(F.col("batch") < batch_id).select(*self.keys)
-        self._write(new.join(old, self.keys, "left_anti"), batch_id)
+        self._write(new_rows(self.versions().filter(F.col("batch") < batch_id), batch, self.keys, order), batch_id)
 
     def compact(self, path):
         """A copy with the current rows only."""

@@ -100,9 +100,9 @@ def sliding_to_files(panes, path, checkpoint, size, step, keys=SERIES, **trigger
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def latest_stream(df, keys=("symbol",), order=("updated",)):
-    """Newest record per key, for update mode."""
-    return latest(df, keys, order)
+def latest_stream(df, keys=("symbol",), order=("updated",), bits=None):
+    """Newest record per key, for update mode; `bits` as for `latest`."""
+    return latest(df, keys, order, bits)
 
 
 def to_files(stream, path, checkpoint, mode="append", **trigger):
