@@ -161,12 +161,6 @@ def prediction_rows(spark, sf):
 
 SQL_RAW_FORECAST = f"""WITH {SQL_BLOCKS},
 diffs AS (SELECT symbol, frame, newest, mid, 0.7 * "closeBid" + 0.3 * "openBid" AS diff FROM points WHERE step = -1)
-SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + 3600 AS BIGINT) AS ts FROM diffs"""
-
-
-#: The same for candles of all frames.
-SQL_ALL_FORECASTS = f"""WITH {SQL_BLOCKS.replace(T.SQL_H1, T.SQL_ALL)},
-diffs AS (SELECT symbol, frame, newest, mid, 0.7 * "closeBid" + 0.3 * "openBid" AS diff FROM points WHERE step = -1)
 SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + seconds AS BIGINT) AS ts FROM diffs JOIN frames USING (frame)"""
 
 
@@ -187,7 +181,7 @@ outs AS (
   FROM points p JOIN stats c ON p.symbol = c.symbol AND p.frame = c.frame AND c.col = 3
                 JOIN stats o ON p.symbol = o.symbol AND p.frame = o.frame AND o.col = 0
   WHERE step = -1)
-SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + 3600 AS BIGINT) AS ts FROM outs""")
+SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + seconds AS BIGINT) AS ts FROM outs JOIN frames USING (frame)""")
 def forecast_scaled(spark, sf):
     candles = bars(spark, sf)
     return X.forecast(candles, MODEL, scaler=X.fit_scaler(X.rolling_blocks(candles)), every=True)
@@ -198,7 +192,7 @@ lasts AS (SELECT p.*, lead(i."closeBid") OVER (PARTITION BY p.symbol, p.frame OR
           FROM points p JOIN indicators i ON p.symbol = i.symbol AND p.frame = i.frame AND i.ts = p.newest WHERE step = -1),
 line AS (SELECT regr_slope((nxt - mid) * 100000, body) AS slope, regr_intercept((nxt - mid) * 100000, body) AS start FROM lasts),
 outs AS (SELECT symbol, frame, newest, mid, slope * body + start AS diff FROM lasts, line)
-SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + 3600 AS BIGINT) AS ts FROM outs""")
+SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + seconds AS BIGINT) AS ts FROM outs JOIN frames USING (frame)""")
 def forecast_line(spark, sf):
     """Forecasts by a line through the next close over the candle body before it, fitted to all blocks."""
     blocks, labelled = labelled_blocks(spark, sf)
@@ -252,7 +246,7 @@ _SHOWN = ", ".join(f"o[{k + 1}] * tanh(n[{k + 1}])" for k in range(HIDDEN))
 _BASE = WEIGHT_COUNT - HIDDEN - 1
 
 
-@query("forecast_recurrent", _sql_stats("avg(v)", "stddev_pop(v)").replace("WITH ", "WITH RECURSIVE ", 1).replace(T.SQL_H1, T.SQL_ALL) + f""",
+@query("forecast_recurrent", _sql_stats("avg(v)", "stddev_pop(v)").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
 rows_ AS (
   SELECT c.symbol, c.frame, newest, step, list((v - centre) / spread ORDER BY c.col) AS v
   FROM cells c JOIN stats s ON c.symbol = s.symbol AND c.frame = s.frame AND c.col = s.col GROUP BY ALL),
@@ -270,7 +264,6 @@ outs AS (
 SELECT symbol, frame, {SQL_FORECAST} AS prediction, CAST(newest + seconds AS BIGINT) AS ts FROM outs JOIN frames USING (frame)""")
 def forecast_recurrent(spark, sf):
     """Every candle's forecast by the recurrent model and the scaler of its own series, all frames."""
-    candles = T.all_candles(spark, sf).select("symbol", "frame", "openBid", "highBid", "lowBid", "closeBid", "ts")
-    blocks = X.rolling_blocks(candles)
+    blocks = X.rolling_blocks(bars(spark, sf))
     scaler = X.fit_scaler(blocks)
     return X.forecast_blocks(blocks, R.series_models(series_weights(scaler), HIDDEN), scaler)

@@ -28,11 +28,11 @@ indicators AS (
          least("closeBid", "openBid") - "lowBid" AS down, "highBid" - greatest("closeBid", "openBid") AS up,
          CASE WHEN n14 = 14 THEN CASE WHEN loss = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + gain / loss) END END AS rsi
   FROM ranged)"""
-SQL_IND = f"{T.SQL_H1}, {SQL_INDICATORS}"
+SQL_IND = f"{T.SQL_ALL}, {SQL_INDICATORS}"
 
 
 def bars(spark, sf):
-    return T.hour_candles(spark, sf).select("symbol", "frame", "openBid", "highBid", "lowBid", "closeBid", "ts")
+    return T.all_candles(spark, sf).select("symbol", "frame", "openBid", "highBid", "lowBid", "closeBid", "ts")
 
 
 @query("sma", f"WITH {SQL_IND} SELECT symbol, frame, ts, {T.six('bbmid', 'sma')} FROM indicators")
@@ -141,7 +141,7 @@ def last_rows(spark, sf):
     return R.last_rows(T.all_candles(spark, sf).select("symbol", "frame", "ts", "closeBid"), 61)
 
 
-@query("sliding_history", f"""WITH {T.SQL_H1},
+@query("sliding_history", f"""WITH {T.SQL_ALL},
 steps AS (SELECT unnest(range(0, 12)) AS k),
 placed_windows AS (
   SELECT symbol, frame, ts, "closeBid", ts // 21600 * 21600 - k * 21600 AS start FROM candles CROSS JOIN steps)
@@ -149,7 +149,7 @@ SELECT symbol, frame, CAST(start AS BIGINT) AS start, CAST(start + 259200 AS BIG
        min(ts) AS first_ts, max(ts) AS last_ts, last("closeBid" ORDER BY ts) AS "closeBid"
 FROM placed_windows GROUP BY symbol, frame, start""")
 def sliding_history(spark, sf):
-    packed = P.sliding_history(T.hour_candles(spark, sf), size=3 * 86400, step=6 * 3600, fields=("closeBid",))
+    packed = P.sliding_history(T.all_candles(spark, sf), size=3 * 86400, step=6 * 3600, fields=("closeBid",))
     last = F.element_at("history", -1)
     return packed.select("symbol", "frame", "start", "end", F.size("history").cast("long").alias("n"),
                          F.element_at("history", 1)["ts"].alias("first_ts"), last["ts"].alias("last_ts"),
@@ -212,11 +212,11 @@ def sorted_candles(spark, sf):
     return T.all_candles(spark, sf).select("symbol", "frame", "ts").orderBy("ts", "symbol", "frame")
 
 
-@query("rmse", f"""WITH {T.SQL_H1}, {T.SQL_PREDICTIONS}
+@query("rmse", f"""WITH {T.SQL_ALL}, {T.SQL_PREDICTIONS}
 SELECT {T.six('sqrt(avg(pow(p.prediction - c."closeBid", 2)))', 'rmse')}
 FROM candles c JOIN predictions p ON c.symbol = p.symbol AND c.frame = p.frame AND c.ts = p.ts""")
 def rmse(spark, sf):
-    truth = T.hour_candles(spark, sf)
+    truth = T.all_candles(spark, sf)
     both = T.as_predictions(truth).join(truth.select("symbol", "frame", "ts", F.col("closeBid").alias("truth")),
                                         ["symbol", "frame", "ts"])
     return T.shown(X.rmse(both), ["rmse"])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import panes as P
 from tickloom.operators import series as R
 from tickloom.plans import tables as T
-from tickloom.plans.forecasts import MODEL, SQL_ALL_FORECASTS
+from tickloom.plans.forecasts import MODEL, SQL_RAW_FORECAST
 from tickloom.plans.market import LIVE_SQL, SCHEMAS, SQL_MESSAGES, messages, shown
 from tickloom.plans.registry import query
 from tickloom.plans.series import SQL_MINUTE_WINDOWS, SQL_UNEVEN, uneven
@@ -41,10 +41,10 @@ def candle_stream(spark, sf):
     return read(spark, collect(spark, S.candle_streams(T.tick_stream(spark, sf))), CANDLE.names)
 
 
-def candle_source(spark, sf, bars=None):
+def candle_source(spark, bars):
     """Candles written to a folder and read as a stream."""
     path = fresh_dir(spark, "candle-source")
-    (T.hour_candles(spark, sf) if bars is None else bars).write.parquet(path)
+    bars.write.parquet(path)
     return spark.readStream.schema(CANDLE).parquet(path)
 
 
@@ -124,10 +124,10 @@ def sliding_stream_minute(spark, sf):
             .agg(F.count(F.lit(1)).alias("windows"), F.sum("n").alias("n"), F.sum("last_ts").alias("last_ts")))
 
 
-@query("dedup_stream", f"WITH {T.SQL_H1} SELECT symbol, frame, ts FROM candles")
+@query("dedup_stream", f"WITH {T.SQL_ALL} SELECT symbol, frame, ts FROM candles")
 def dedup_stream(spark, sf):
-    bars = T.hour_candles(spark, sf)
-    path = collect(spark, S.dedup_stream(candle_source(spark, sf, bars.unionByName(bars))))
+    bars = T.all_candles(spark, sf)
+    path = collect(spark, S.dedup_stream(candle_source(spark, bars.unionByName(bars))))
     return read(spark, path, ["symbol", "frame", "ts"])
 
 
@@ -171,7 +171,7 @@ def route_stream(spark, sf):
     return W.union_all([read(spark, f"{root}/{name}", ["subject", "symbol", "at", "value"]) for name in SCHEMAS])
 
 
-@query("forecast_stream", SQL_ALL_FORECASTS)
+@query("forecast_stream", SQL_RAW_FORECAST)
 def forecast_stream(spark, sf):
     """Forecasts of all frames; candles come in five batches."""
     root = fresh_dir(spark, "stream")
