@@ -2,7 +2,6 @@ import hashlib
 import random
 import re
 
-import pytest
 from llm_helpers import no_docs, odd_docs, prose  # noqa: F401
 
 from tickloom.llm.decontaminate import contamination, decontaminate
@@ -61,5 +60,62 @@ def test_odd_tables(spark, odd_docs, no_docs):
     assert contamination(no_docs, bench).count() == 0
     assert contamination(odd_docs, bench.limit(0)).where("contaminated").count() == 0
     assert decontaminate(odd_docs, bench).columns == odd_docs.columns
-    with pytest.raises(ValueError):
-        contamination(odd_docs, bench, max_benchmark_bytes=10)
+    small = contamination(odd_docs, bench, max_benchmark_bytes=10).collect()
+    assert sorted(str(r.asDict()) for r in small) == sorted(str(r.asDict()) for r in rows)
+
+
+def test_parts_of_a_benchmark_equal_the_whole(spark):
+    draw = random.Random(9)
+    items = [(k, prose(k, draw.randrange(1, 30), 20)) for k in range(30)]
+    docs = [(k, prose(300 + k, 20, 20) + " " + " ".join(draw.choice(items)[1] for _ in range(k % 4))) for k in range(40)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole, parts = (contamination(df, bench, max_benchmark_bytes=n).drop("text") for n in (1 << 20, 1500))
+    show = lambda r: (r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"], r["longest"] and r["longest"]["words"])
+    assert sorted(map(show, whole.collect())) == sorted(map(show, parts.collect()))
+
+
+def test_shards_equal_all_pairs():
+    """Every window compared with every place, on few words so that all kinds of overlaps occur."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tickloom.llm.decontaminate import Suffixes, shared_with
+    from tickloom.llm.words import NOT_ALNUM, texts
+    from tickloom.llm.words import words as cut
+    draw = random.Random(1)
+    for _ in range(150):
+        few, window = draw.choice([1, 2, 3, 5, 20]), draw.choice([2, 3, 4, 10])
+        items = [(k, " ".join(f"w{draw.randrange(few)}" for _ in range(draw.choice([0, 1, 2, 3, 5, 8, 12, 15])))) for k in range(draw.randrange(1, 6))]
+        docs = [" ".join(f"w{draw.randrange(few + 1)}" for _ in range(draw.choice([0, 1, 4, 9, 15, 30]))) for _ in range(draw.randrange(1, 6))]
+        bench, found = Suffixes(items, window), cut(*texts(pa.array(docs)), NOT_ALNUM)
+        for text, got in zip(docs, shared_with(found, bench, window)):
+            w, hit, ids, best = text.split(), set(), set(), None
+            for i, (name, item) in enumerate(items):
+                x = item.split()
+                size = min(window, len(x))
+                for s in range(len(x) - size + 1) if x else ():
+                    for p in range(len(w) - size + 1):
+                        if w[p:p + size] == x[s:s + size]:
+                            hit.update(range(p, p + size))
+                            ids.add(str(name))
+                            length = size
+                            while s + length < len(x) and p + length < len(w) and w[p + length] == x[s + length]:
+                                length += 1
+                            best = min(best or (0, 0, 0, 0), (-length, p, s, i))
+            assert {k for a, b in got.spans for k in range(a, b)} == hit and got.items == ids
+            assert got.longest == (best and (-best[0], best[1], best[2], str(items[best[3]][0])))
+            assert np.all(got.spans[1:, 0] > got.spans[:-1, 1])
+
+
+def test_repeated_words_cost_their_number():
+    import time
+
+    import pyarrow as pa
+
+    from tickloom.llm.decontaminate import Suffixes, shared_with
+    from tickloom.llm.words import NOT_ALNUM, texts
+    from tickloom.llm.words import words as cut
+    bench, began = Suffixes([(1, "a " * 1000), (2, "a " * 400)], 10), time.time()
+    got, = shared_with(cut(*texts(pa.array(["a " * 100_000])), NOT_ALNUM), bench, 10)
+    assert got.items == {"1", "2"} and got.longest == (1000, 0, 0, "1") and got.spans.tolist() == [[0, 100_000]]
+    assert time.time() - began < 10
