@@ -26,6 +26,7 @@ SAMPLES = 128
 GROUP = 1 << 19          # bytes of text parsed together
 BUCKETS_PER_PARTITION = 4
 BUCKET_ROWS = 20_000
+MOST_BUCKETS = 1 << 16   # whose first rows pass the driver
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,12 +131,12 @@ def edited_text(text: str, following: str) -> str:
 def in_id_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows (bucket, after, doc_id, text) dealt by ranges of ids and sorted within them, ids that are null first
     and equal ids by a hash of the text. The first row of a bucket is there a second time at the end of the bucket
-    before it, marked `after`, and the first of all at the end of the last one. Only the first row of every bucket
-    passes the driver, without its text."""
+    before it, marked `after`, and the first of all at the end of the last one. Only the first row of every bucket, of
+    MOST_BUCKETS at most, passes the driver, without its text."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"))
     count = rows.count()
-    buckets = max(BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), count // BUCKET_ROWS)
+    buckets = min(max(BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), count // BUCKET_ROWS), MOST_BUCKETS)
     ranged = rows.select("doc_id", "h").repartitionByRange(buckets, "doc_id").select(F.spark_partition_id().alias("b"), F.struct("doc_id", "h").alias("first"))
     heads = [r["first"] for r in ranged.groupBy("b").agg(F.min("first").alias("first")).orderBy("b").collect()]
     shared = spark.sparkContext.broadcast(([h["doc_id"] for h in heads], [h["h"] for h in heads]))
@@ -156,7 +157,7 @@ def in_id_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     own = F.struct(F.col("at.bucket").alias("bucket"), F.lit(0).alias("after"))
     again = F.struct(F.col("at.before").alias("bucket"), F.lit(1).alias("after"))
     placed = placed.select("doc_id", "text", "h", F.explode(F.when(F.col("at.before") >= 0, F.array(own, again)).otherwise(F.array(own))).alias("at"))
-    return placed.select("at.*", "doc_id", "h", "text").repartition("bucket").sortWithinPartitions("bucket", "after", "doc_id", "h")
+    return placed.select("at.*", "doc_id", "h", "text").repartition(max(1, buckets // BUCKETS_PER_PARTITION), "bucket").sortWithinPartitions("bucket", "after", "doc_id", "h")
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
