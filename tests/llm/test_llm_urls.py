@@ -48,3 +48,10 @@ def test_repeats_empty_tables_and_no_rules(spark):
     assert url_verdicts(empty, RULES).count() == 0
     with pytest.raises(ValueError):
         url_verdicts(spark.createDataFrame([], "host string"), RULES, url="host")
+
+
+def test_very_long_urls(spark):
+    long = "x" * 2_000_000
+    got = judge(spark, [f"http://example.org/es/{long}", f"http://{long}.com/de/a", "http://a.net/" + "a/b-c." * 200_000 + "casino", "http://" + long, long], [*PATTERNS, *RULES])
+    assert [(g[2], g[3]) for g in got] == [("example.org/es/", "block"), ("com/de/", "block"), (None, "block"), (None, "allow"), (None, "allow")]
+    assert [len(g[0]) + len(g[1]) for g in got] == [11 + 4 + len(long), len(long) + 4 + 5, 5 + 1 + 6 * 200_000 + 6, len(long), 0]
