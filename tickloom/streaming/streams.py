@@ -131,7 +131,7 @@ def rows_and_carry(rows, summaries, keys, carry, carried, state):
         yield out
 
     kinds = T.StructType([f for f in summaries.schema if f.name in keys])
-    schema = T.StructType([*kinds, *T._parse_datatype_string(carried)])
+    schema = T.StructType([*kinds, *T.StructType.fromDDL(carried)])
     past = summaries.groupBy(*keys).applyInPandasWithState(step, schema, state, "append", GroupStateTimeout.NoTimeout)
     packed = past.select(F.struct(*schema.fieldNames()).alias("_carried"))
     return rows.select(F.struct(*rows.columns).alias("_row")).unionByName(packed, allowMissingColumns=True)
