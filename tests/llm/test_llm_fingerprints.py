@@ -66,3 +66,58 @@ def test_odd_tables(spark, odd_docs, no_docs):
     one = fingerprints(spark.createDataFrame([("k", "only one")], "doc_id string, text string")).first()
     assert one["near_next"] == 1 and one["doc_id"] == "k"
     assert in_id_order(odd_docs, "doc_id", "text").where("after = 0").count() == odd_docs.count()
+
+
+def test_sketches_equal_a_plain_parser():
+    """The whole fingerprint by loops over Python numbers."""
+    from tickloom.llm.fingerprints import _MULTIPLIERS, _STEP, SAMPLES
+    whole, step = (1 << 64) - 1, int(_STEP)
+
+    def mixed(x):
+        x ^= x >> 32
+        x = x * 0xD6E8FEB86659FD93 & whole
+        return x ^ x >> 29
+
+    def level(symbols):
+        runs = []
+        for s in symbols:
+            if runs and runs[-1][0] == s:
+                runs[-1][1] += 1
+            else:
+                runs.append([s, 1])
+        names = [mixed(s + n * step & whole) if n > 1 else s for s, n in runs]
+        label = names
+        for turn in range(4):
+            new = []
+            for k, own in enumerate(label):
+                differ = own ^ (label[k - 1] if k else own ^ 1) or 1
+                low = differ & -differ
+                new.append(2 * (low.bit_length() - 1) + bool(own & low))
+            label = new
+        starts = [k for k in range(len(label)) if k == 0 or (k < len(label) - 1 and label[k] > label[k - 1] and label[k] > label[k + 1])]
+        out = []
+        for a, b in zip(starts, [*starts[1:], len(names)]):
+            out.append(mixed(sum(mixed(names[k] + (k - a + 1) * step & whole) for k in range(a, b)) + b - a & whole))
+        return out
+
+    def sketch(data):
+        symbols = [mixed(byte + 1) for byte in data]
+        for _ in range(2):
+            symbols = level(symbols)
+        seen, counted = {}, []
+        for s in symbols:
+            times = seen.get(s, 0)
+            seen[s] = times + 1
+            counted.append(mixed(s + times * step & whole) if times else s)
+        out = []
+        for factor in map(int, _MULTIPLIERS):
+            hashed = [s * factor & whole for s in counted]
+            least = min((h ^ h >> 31) * step & whole for h in hashed)
+            out.append(mixed(least) % 255 + 1)
+        return out
+
+    texts = [t.encode() for t in (prose(1, 40), prose(2, 7), "a", "aaaa", "ab" * 30, "abcabcabc", "é ü 日本", " ", prose(3, 15) * 2)]
+    got = sketches([b"", *texts])
+    assert got[0].tolist() == [0] * SAMPLES
+    for text, row in zip(texts, got[1:]):
+        assert row.tolist() == sketch(text)
