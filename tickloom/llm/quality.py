@@ -147,13 +147,10 @@ def held_out(doc_id: str) -> Column:
 def sample_space(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, sample: int) -> Space:
     """The space of the `sample` labelled documents with the least hashed ids among those not held out. A
     document labelled twice has the mean label; of several texts with one id one counts."""
-    spark = docs.sparkSession
     marked = (labels.where(~held_out(doc_id)).where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
               .groupBy(F.col(doc_id).alias("doc_id")).agg(F.avg(label).cast("double").alias("label")))
     ids = docs.select(F.col(doc_id).alias("doc_id")).where(F.col("doc_id").isNotNull())
-    picked = (marked.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = picked.collect()                         # at most `sample` ids and labels
-    known = spark.createDataFrame(rows, picked.schema) if rows else picked.limit(0)
+    known = marked.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)   # ids and labels
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
