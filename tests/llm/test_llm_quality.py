@@ -29,6 +29,17 @@ def test_held_out_accuracy(spark):
     assert kept.columns == df.columns and kept.count() == sum(r["predicted"] for r in got.values())
 
 
+def test_sample_is_joined_without_the_driver(spark, monkeypatch):
+    """Local rows would come through Python workers of another kind, which stay beside those of the tasks."""
+    docs, df, labels = labelled(spark, 60)
+
+    def local(*_, **__):
+        raise AssertionError("rows of the driver")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", local)
+    assert quality_scores(df, labels).count() == len(docs)
+
+
 def test_given_labels(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
